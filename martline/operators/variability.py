@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
@@ -182,6 +182,56 @@ def metric_table(fine: DataFrame, kind: str, metric: Metric) -> DataFrame:
     return agg.select("*", ratio("significance", "all_qty").alias("variability"))
 
 
+def wide_metrics(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> DataFrame:
+    """All 12 variabilities of one period kind at the finest grain (period, dims).
+
+    The cells are hash-partitioned by the period keys once. Every metric
+    groups by the period plus a subset of the dimensions, so each is a window
+    over the fine statistics whose partitioning is already satisfied: sorts,
+    no further shuffles. The two roll-ups of the ``all_dest`` leaf sum its
+    significance once per ``all_dest`` group (on the group's first fine row).
+    """
+    period = list(PERIODS[kind])
+    cells = cells.repartition(*period)
+    if kind == "week":
+        src, qty = cells, DAY_QTY
+    else:
+        # Synthetic week 0 stays as a cell with a NULL quantity: it adds
+        # nothing to any statistic, but every (month, dims) of a base row
+        # keeps a fine row, so base rows whose own combination has only
+        # week-0 days still receive the coarser month metrics.
+        src = cells.groupBy(*period, SWEEK, *dims).agg(
+            F.sum(F.when(F.col(SWEEK) != 0, F.col(DAY_QTY))).alias(SWEEK_QTY)
+        )
+        qty = SWEEK_QTY
+    fine = leaf_stats(src, period, dims, qty)
+
+    def w(ds):
+        return Window.partitionBy(*period, *ds)
+
+    nm = F.col("n") * F.col("m")
+    all_dest = METRIC_BY_NAME["all_dest"].dims
+    other = [d for d in dims if d not in all_dest]
+    first_of_group = F.row_number().over(w(all_dest).orderBy(*other)) == 1
+    sig3 = F.sum("n").over(w(all_dest)) * F.max("m").over(w(all_dest))
+    fine = fine.select("*", F.when(first_of_group, sig3).otherwise(F.lit(0)).alias("__sig3"))
+
+    cols = []
+    for metric in METRICS:
+        name = f"{metric.column}_{kind}_variability"
+        ds = list(metric.dims)
+        if metric.form == "leaf" and tuple(ds) == tuple(dims):
+            v = ratio(nm, "a")
+        elif metric.form == "leaf":
+            v = ratio(F.sum("n").over(w(ds)) * F.max("m").over(w(ds)), F.sum("a").over(w(ds)))
+        elif metric.base == "dest":
+            v = ratio(F.sum(nm).over(w(ds)), F.sum("a").over(w(ds)))
+        else:
+            v = ratio(F.sum("__sig3").over(w(ds)), F.sum("a").over(w(ds)))
+        cols.append(v.alias(name))
+    return fine.select(*period, *dims, *cols)
+
+
 def variability_mart(day: DataFrame) -> DataFrame:
     """Wide mart rows: one per base row with all 24 variabilities.
 
@@ -189,17 +239,12 @@ def variability_mart(day: DataFrame) -> DataFrame:
     week only, so a week straddling two months gives two base rows with the
     same week values; days in synthetic week 0 count for week metrics and
     base rows but not for month metrics (whose values may then be NULL).
+    Two left joins attach the week and month halves to the base rows.
     """
-    out = base_rows(day)
-    fine = {kind: fine_stats(day, kind) for kind in PERIODS}
-    for metric in METRICS:
-        for kind, period in PERIODS.items():
-            t = metric_table(fine[kind], kind, metric)
-            col = f"{metric.column}_{kind}_variability"
-            keys = list(period) + list(metric.dims)
-            t = t.select(*[F.col(k).alias("__k_" + k) for k in keys], F.col("variability").alias(col))
-            cond = [out[k] == t["__k_" + k] for k in keys]
-            out = out.join(t, cond, "left").drop(*["__k_" + k for k in keys])
+    base = base_rows(day)
+    week = wide_metrics(day, "week")
+    month = wide_metrics(day, "month")
+    out = base.join(week, [WEEK_NO, *DIMS], "left").join(month, [YEAR_NO, MONTH_NO, *DIMS], "left")
     return out.select(
         null_default(SC).alias(SC),
         null_default(BU).alias(BU),

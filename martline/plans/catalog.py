@@ -29,6 +29,7 @@ from ..operators.changes import new_or_changed
 from ..operators.enrich import distinct_legs
 from ..operators.joins import first_item_join
 from ..operators.versions import current_state, latest_version
+from ..session import cut_lineage
 from ..sources import testdata as TD
 from . import actual, shipment_mart, shipment_points, variability_mart
 
@@ -234,7 +235,9 @@ def previous_shipment_mart(cand: DataFrame) -> DataFrame:
 
 
 def shipment_mart_changes(spark, d):
-    cand = shipment_mart.enriched(TD.staging(spark, d))
+    # the candidates feed both sides (the previous loads are derived from
+    # them), so they are written once instead of computed twice
+    cand = cut_lineage(shipment_mart.enriched(TD.staging(spark, d)))
     target = previous_shipment_mart(cand)
     return new_or_changed(cand, current_state(target, [shipment_mart.KEY]), [shipment_mart.KEY],
                           shipment_mart.COLUMNS)
@@ -244,7 +247,10 @@ def shipment_mart_changes(spark, d):
 
 
 def _day(spark, d):
-    return variability_mart.day_cells(TD.staging(spark, d))
+    """Day cells, written once to the checkpoint folder: every metric table,
+    the base rows and the month cells read them instead of re-running the
+    staging pipeline per consumer."""
+    return cut_lineage(variability_mart.day_cells(TD.staging(spark, d)))
 
 
 def day_cells(spark, d):
@@ -305,7 +311,7 @@ def previous_variability_mart(rows: DataFrame) -> DataFrame:
 
 
 def variability_changes(spark, d):
-    rows = variability_mart.mart_rows(_day(spark, d))
+    rows = cut_lineage(variability_mart.mart_rows(_day(spark, d)))
     target = previous_variability_mart(rows)
     keys = list(variability_mart.KEYS)
     return new_or_changed(rows, current_state(target, keys), keys, variability_mart.COLUMNS)
