@@ -56,11 +56,11 @@ def latest_version(
             sort_cols.append(c)
     if tiebreak:
         sort_cols += [F.col(c).desc_nulls_last() for c in df.columns if c not in used]
-    # A 64-bit hash of the key leads the partition spec. It is a function of
-    # the key, so the groups are unchanged, but the window sort compares a
-    # fixed-width prefix first instead of long, often zero-padded, text keys.
-    part = [F.xxhash64(*[F.col(k) for k in keys])] + [F.col(k) for k in keys]
-    w = Window.partitionBy(*part).orderBy(*sort_cols)
+    # Partitioned by exactly the business key: the result stays
+    # hash-partitioned on it, so a following join on the same key (delivery
+    # by delivery number, rate by date, ...) reuses the partitioning instead
+    # of shuffling the resolved table again.
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort_cols)
     out = df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
     if deleted_col is not None:
         out = out.where(F.col(deleted_col) == F.lit(live_value))

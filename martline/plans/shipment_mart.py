@@ -94,15 +94,20 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFra
     f = _pref(actual.lfa1(src["lfa1"]).select("lifnr", "name1"), "f_")
     rlt = _pref(lead_times(actual.tvrab(src["tvrab"]), actual.transport_leg(src["transport_leg"])), "r_")
 
-    ship_no = to_bigint("k_tknum")
+    # Joins sharing a key are adjacent, so when the sides are too large to
+    # broadcast the growing left side is shuffled once per key (text
+    # shipment number, BIGINT shipment number, delivery number, ...) and
+    # version-resolved right sides keep the partitioning of their own key.
+    k = k.withColumn("k_no", to_bigint("k_tknum"))
+    ship_no = F.col("k_no")
     x = (
         k.join(p, F.col("k_tknum") == F.col("p_tknum"), "left")
-        .join(lk, F.col("p_vbeln") == F.col("l_vbeln"), "left")
-        .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(s, F.col("k_tknum") == F.col("s_tknum"), "left")
-        .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
-        .join(c, F.col("l_kunnr") == F.col("c_kunnr"), "left")
+        .join(t, F.col("k_tknum") == F.col("t_tknum"), "left")
+        .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
+        .join(lk, F.col("p_vbeln") == F.col("l_vbeln"), "left")
+        .join(c, F.col("l_kunnr") == F.col("c_kunnr"), "left")
         .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
         .join(
             b,
@@ -110,9 +115,9 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFra
             & (F.col("s_vstel") == F.col("b_shipping_point_code")),
             "left",
         )
-        .join(t, F.col("k_tknum") == F.col("t_tknum"), "left")
         .join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
         .join(rlt, F.col("r_route") == F.col("k_route"), "left")
+        .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
     )
 
     def rub(amount, ccy):
