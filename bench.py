@@ -3,7 +3,7 @@
 Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]``, executing the full plan
 into Spark's ``noop`` sink (nothing is collected to the driver). One warm-up
-pass, then ``$BENCH_RUNS`` timed passes (default 1); the median per query is
+pass, then ``$BENCH_RUNS`` timed passes (default 3); the median per query is
 reported. Prints one JSON line.
 """
 
@@ -40,7 +40,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or list(HEADLINE)
     spark = get_spark(f"local[{cpus}]", app="martline-bench", shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})

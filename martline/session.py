@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,11 +59,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, eager).
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a DataFrame reading it.
 
-    Used where one derived table feeds several consumers: they then read the
-    written files instead of re-running the plan, and a lost executor costs
-    a re-read, not a recomputation from the sources.
+    Used where one derived table feeds several consumers: they read the
+    written files instead of re-running the plan, and a lost executor costs a
+    re-read, not a recomputation from the sources. Writing a table computes
+    ``df`` once; an eager ``checkpoint()`` would compute it twice (once to
+    count, once to save) unless it were also cached.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
