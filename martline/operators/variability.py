@@ -185,14 +185,14 @@ def metric_table(fine: DataFrame, kind: str, metric: Metric) -> DataFrame:
 def wide_metrics(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> DataFrame:
     """All 12 variabilities of one period kind at the finest grain (period, dims).
 
-    The cells are hash-partitioned by the period keys once. Every metric
-    groups by the period plus a subset of the dimensions, so each is a window
-    over the fine statistics whose partitioning is already satisfied: sorts,
-    no further shuffles. The two roll-ups of the ``all_dest`` leaf sum its
+    The fine statistics are aggregated (with map-side combine) and then
+    hash-partitioned by the period keys once. Every metric groups by the
+    period plus a subset of the dimensions, so each is a window whose
+    partitioning is already satisfied: sorts, no further shuffles. A period's
+    task holds at most one row per dimension combination of that period. The two roll-ups of the ``all_dest`` leaf sum its
     significance once per ``all_dest`` group (on the group's first fine row).
     """
     period = list(PERIODS[kind])
-    cells = cells.repartition(*period)
     if kind == "week":
         src, qty = cells, DAY_QTY
     else:
@@ -204,7 +204,9 @@ def wide_metrics(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> Dat
             F.sum(F.when(F.col(SWEEK) != 0, F.col(DAY_QTY))).alias(SWEEK_QTY)
         )
         qty = SWEEK_QTY
-    fine = leaf_stats(src, period, dims, qty)
+    # aggregate first (map-side combine, spread by the full key), then hash
+    # the small fine statistics by period so every window below is local
+    fine = leaf_stats(src, period, dims, qty).repartition(*period)
 
     def w(ds):
         return Window.partitionBy(*period, *ds)
