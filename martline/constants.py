@@ -63,6 +63,22 @@ SHIPMENT_POINT_DASHBOARD_NAMES = (
 # Name of the only data-quality rule the key checker knows.
 RULE_DUPLICATE_CHECK = "dublicate_check"
 
+# Business key of each checked mart table or view (the load time is added
+# to the key by the check: versions are legal, copies within a load are not).
+MART_TABLE_KEYS = (
+    ("metrics_main", ("transportation_number",)),
+    ("metrics_variability", ("year", "month", "week", "sales_channel", "business_unit", "shipment_point_code",
+                             "delivery_point")),
+    ("business_unit_ref", ("business_unit_code", "shipping_point_code")),
+    ("currency_rate_ref", ("rate_date",)),
+    ("delivery_point_ref", ("delivery_point_code",)),
+    ("plan_norm", ("id",)),
+    ("shipment_point_ref", ("shipment_point_code",)),
+    ("v_metrics_main", ("transportation_number",)),
+    ("v_metrics_variability", ("year", "month", "week", "sales_channel", "business_unit", "shipment_point_code",
+                               "delivery_point")),
+)
+
 # --- end of fixed values ----------------------------------------------------
 
 # Technical columns of every versioned table.

@@ -79,6 +79,28 @@ class CheckedTable:
     load_ts: str | None = K.LOAD_TS
 
 
+def registry_resolver(
+    tables: Mapping[str, DataFrame],
+    keys: Iterable[tuple[str, Sequence[str]]] = K.MART_TABLE_KEYS,
+    load_ts: str = K.LOAD_TS,
+) -> Callable[[str], CheckedTable]:
+    """Resolve table names to checks using a key registry.
+
+    ``tables`` maps names to DataFrames (e.g. ``spark.table`` results). A
+    name missing from either the registry or ``tables`` raises ``KeyError``.
+    """
+    registry = {name: tuple(k) for name, k in keys}
+
+    def resolve(name: str) -> CheckedTable:
+        if name not in registry:
+            raise KeyError(f"no key definition for table {name!r}")
+        if name not in tables:
+            raise KeyError(f"table {name!r} is not available")
+        return CheckedTable(name, tables[name], registry[name], load_ts)
+
+    return resolve
+
+
 def key_check_report(
     tables_rules: Iterable[Mapping[str, Sequence[str]]],
     resolve: Callable[[str], CheckedTable],

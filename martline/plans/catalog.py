@@ -367,6 +367,36 @@ def dq_report(spark, d):
     return quality.key_check_report(DQ_CONFIG, dq_resolver(spark, d), ENVIRONMENT, RUN_DATE)
 
 
+MART_CHECKS = tuple(
+    {name: [K.RULE_DUPLICATE_CHECK]}
+    for name in ("metrics_main", "metrics_variability", "business_unit_ref", "currency_rate_ref",
+                 "delivery_point_ref", "shipment_point_ref")
+)
+
+
+def mart_tables(spark, d) -> dict[str, DataFrame]:
+    """The marts as one load would store them (rows stamped with one load
+    time), plus the reference tables as staged."""
+    from ..sources.sinks import stamp
+
+    src = TD.staging(spark, d)
+    run = PREVIOUS_LOAD_TS[1]
+    return {
+        "metrics_main": stamp(shipment_mart.enriched(src), run),
+        "metrics_variability": stamp(variability_mart.mart_rows(_day(spark, d)), run),
+        "shipment_point_ref": stamp(shipment_points.rows(src["tvst"]), run),
+        "business_unit_ref": src["business_unit_ref"],
+        "currency_rate_ref": src["currency_rate_ref"],
+        "delivery_point_ref": src["delivery_point_ref"],
+    }
+
+
+def mart_key_checks(spark, d):
+    """Duplicate-key check of every mart and reference table, keys from the registry."""
+    resolve = quality.registry_resolver(mart_tables(spark, d))
+    return quality.key_check_report(MART_CHECKS, resolve, ENVIRONMENT, RUN_DATE)
+
+
 def file_dup_check(spark, d):
     """Write lineitem and orders as CSV datasets into a fresh folder under the
     shared checkpoint folder, then check their first columns."""
@@ -417,6 +447,7 @@ def queries() -> dict[str, Query]:
             "dimension_rebuild": dimension_rebuild,
             "dup_key_check": dup_key_check,
             "dq_report": dq_report,
+            "mart_key_checks": mart_key_checks,
             "file_dup_check": file_dup_check,
             "shipment_mart_changes": shipment_mart_changes,
         }

@@ -63,3 +63,14 @@ def test_folder_edge_cases(spark, tmp_dir):
     with open(os.path.join(empty, "x.xlsx"), "w") as f:
         f.write("binary")
     assert folder_duplicates(spark, empty).count() == 0
+
+
+def test_registry_resolver(spark):
+    mm = spark.createDataFrame([(1, T0), (1, T0), (2, T0)], "transportation_number bigint, tech_load_ts timestamp")
+    resolve = Q.registry_resolver({"metrics_main": mm})
+    rep = Q.key_check_report([{"metrics_main": [K.RULE_DUPLICATE_CHECK]}], resolve, "prod", "2024-06-30").collect()
+    assert [(r.dm_table, r.validation_result) for r in rep] == [("metrics_main", 1)]
+    with pytest.raises(KeyError):
+        resolve("plan_norm")          # known key, table not given
+    with pytest.raises(KeyError):
+        resolve("no_such_table")      # no key definition
