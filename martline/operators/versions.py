@@ -61,12 +61,12 @@ def latest_version(
     # by delivery number, rate by date, ...) reuses the partitioning instead
     # of shuffling the resolved table again.
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort_cols)
-    out = df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
+    keep = F.col(_RN) == 1
     if deleted_col is not None:
-        out = out.where(F.col(deleted_col) == F.lit(live_value))
+        keep = keep & (F.col(deleted_col) == F.lit(live_value))
     if post is not None:
-        out = out.where(post)
-    return out
+        keep = keep & (F.expr(post) if isinstance(post, str) else post)
+    return df.select("*", F.row_number().over(w).alias(_RN)).where(keep).drop(_RN)
 
 
 def current_state(df: DataFrame, keys: Sequence[str], load_ts: str = LOAD_TS) -> DataFrame:

@@ -19,6 +19,8 @@ Derivation rules are plain column expressions; the oracle SQL in
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -265,6 +267,31 @@ STAGING = {
 }
 
 
-def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All staging tables, lazily defined over ``sf_dir``."""
-    return {name: fn(spark, sf_dir) for name, fn in STAGING.items()}
+class Staging(Mapping):
+    """Staging tables over one test-data folder, each defined on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = STAGING[name](self.spark, self.sf_dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(STAGING)
+
+    def __len__(self) -> int:
+        return len(STAGING)
+
+
+_STAGING: dict[str, Staging] = {}
+
+
+def staging(spark: SparkSession, sf_dir: str) -> Staging:
+    """All staging tables over ``sf_dir`` (built lazily, once per session)."""
+    hit = _STAGING.get(sf_dir)
+    if hit is None or hit.spark is not spark:
+        hit = _STAGING[sf_dir] = Staging(spark, sf_dir)
+    return hit
