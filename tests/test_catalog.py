@@ -1,7 +1,6 @@
 """Every catalogue query against its DuckDB oracle on the smallest test data."""
 
 import decimal
-import os
 
 import duckdb
 import pytest

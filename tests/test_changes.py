@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from martline.operators.changes import new_or_changed
 from martline.operators.versions import current_state

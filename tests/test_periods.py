@@ -1,7 +1,6 @@
 import calendar
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from martline.functions import periods as P
 

@@ -1,7 +1,5 @@
-import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from martline import constants as K
 from martline.functions import rules as R

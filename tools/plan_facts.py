@@ -34,7 +34,7 @@ def facts(plan: str) -> list[str]:
         line = m.group(0)
         rs = re.search(r"ReadSchema: (struct<[^>]*>)", line)
         pf = re.search(r"PushedFilters: (\[[^\]]*\])", line)
-XX
+        name = re.search(r"/([^/\]]+\.parquet)\]", line)
         read = f" read={rs.group(1)}" if rs else ""
         out.append(f"scan {name.group(1) if name else '(checkpointed table)'}: "
                    f"pushed={pf.group(1) if pf else '[]'}{read}")
