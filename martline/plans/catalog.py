@@ -134,7 +134,8 @@ def composite_key_join(spark, d):
     service legs carrying that code."""
     legs = distinct_legs(actual.tvrab(TD.tvrab(spark, d)))
     tl = actual.transport_leg(TD.transport_leg(spark, d))
-    per_code = tl.groupBy(F.col("code").alias("__code")).agg(F.sum("transportation_time").alias("leg_time"))
+    per_code = tl.groupBy(F.col("code").alias("__code")).agg(
+        F.sum("transportation_time").cast("decimal(18,2)").alias("leg_time"))
     return legs.join(per_code, F.col("sap_leg_code") == F.col("__code"), "left").drop("__code")
 
 
@@ -189,12 +190,13 @@ def first_leg_join(spark, d):
 
 def child_total(spark, d):
     src = TD.staging(spark, d)
-    return shipment_mart.net_weight(actual.vttp(src["vttp"]), actual.likp(src["likp"]))
+    t = shipment_mart.net_weight(actual.vttp(src["vttp"]), actual.likp(src["likp"]))
+    return t.select("tknum", F.col("net_weight").cast("decimal(18,3)").alias("net_weight"))
 
 
 def route_lead_time(spark, d):
-    return shipment_mart.lead_times(actual.tvrab(TD.tvrab(spark, d)),
-                                    actual.transport_leg(TD.transport_leg(spark, d)))
+    t = shipment_mart.lead_times(actual.tvrab(TD.tvrab(spark, d)), actual.transport_leg(TD.transport_leg(spark, d)))
+    return t.select("route", F.col("svt_route_lead_time").cast("decimal(18,2)").alias("svt_route_lead_time"))
 
 
 def distinct_legs_q(spark, d):

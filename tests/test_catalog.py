@@ -49,3 +49,20 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(names) == cols
     want = sorted(tuple(_norm(dict(zip(names, r))[c]) for c in cols) for r in rel.fetchall())
     assert got == want
+
+
+SPARK_TO_DUCKDB = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "StringType()": "VARCHAR",
+                   "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP", "DoubleType()": "DOUBLE"}
+
+
+def _duck_type(dt) -> str:
+    r = repr(dt)
+    return SPARK_TO_DUCKDB.get(r, r.replace("DecimalType(", "DECIMAL(").replace(", ", ","))
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    got = {f.name.lower(): _duck_type(f.dataType) for f in df.schema.fields}
+    want = {r[0].lower(): r[1] for r in con.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    assert got == want
