@@ -53,12 +53,13 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFr
                              resolve_dims).select(
         F.col("business_unit_code").alias("b_bu"), F.col("shipping_point_code").alias("b_sp"),
         F.col("business_unit_name").alias("b_name"))
+    # joins on the same key are adjacent (shipment number, then delivery)
     return (
         k.join(p, F.col("k_tknum") == F.col("p_tknum"), "left")
-        .join(lk, F.col("p_vbeln") == F.col("l_vbeln"), "left")
         .join(s, F.col("k_tknum") == F.col("s_tknum"), "left")
-        .join(d, F.col("k_add02") == F.col("d_code"), "left")
+        .join(lk, F.col("p_vbeln") == F.col("l_vbeln"), "left")
         .join(b, (F.col("l_vkorg") == F.col("b_bu")) & (F.col("s_vstel") == F.col("b_sp")), "left")
+        .join(d, F.col("k_add02") == F.col("d_code"), "left")
     )
 
 
