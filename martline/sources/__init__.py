@@ -1,0 +1 @@
+"""Readers and writers: folder scans, sinks, and the test-data staging adapter."""

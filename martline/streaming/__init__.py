@@ -1,0 +1 @@
+"""Structured Streaming trigger for incremental loads."""
