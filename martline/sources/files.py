@@ -50,7 +50,9 @@ def first_column_rows(spark: SparkSession, folder: str) -> DataFrame | None:
         return None
     first = raw.columns[0]
     base = re.escape(folder.rstrip("/").split(":", 1)[-1].lstrip("/"))
-    source = F.regexp_extract(F.col("_metadata.file_path"), base + "/([^/]+)", 1)
+    # file_path is a URI (a space is %20); decode it, keeping a literal '+'
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    source = F.regexp_extract(path, base + "/([^/]+)", 1)
     return raw.select(source.alias("source"), F.col(first).cast("string").alias("pk"))
 
 

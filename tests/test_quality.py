@@ -74,3 +74,12 @@ def test_registry_resolver(spark):
         resolve("plan_norm")          # known key, table not given
     with pytest.raises(KeyError):
         resolve("no_such_table")      # no key definition
+
+
+def test_folder_names_with_spaces_and_plus(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "my data+x")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a b+c.csv"), "w") as f:
+        f.write("id\n1\n1\n")
+    rep = folder_duplicates(spark, folder, "2024-06-30").collect()
+    assert [(r.excel_source, r.pk_num, r.number_of_dublicates) for r in rep] == [("a b+c.csv", "1", 2)]
