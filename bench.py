@@ -45,24 +45,32 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app="martline-bench", shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     qs = catalog.queries()
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = qs[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the other queries
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
