@@ -9,11 +9,14 @@ appends nothing the second time.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..operators import quality
 from ..operators.changes import new_or_changed
 from ..operators.versions import current_state
@@ -37,12 +40,19 @@ def read_target(spark: SparkSession, target: str, is_table: bool = False) -> Dat
 
 def _incremental(spark, rows: DataFrame, target: str, keys: Sequence[str], columns: Sequence[str], run_ts,
                  is_table: bool, partition_by=None) -> DataFrame:
+    """Append the new or changed ``rows``; return the rows this run appended.
+
+    The run timestamp is fixed before the write (one value per run, unique
+    per run), so the appended rows are found again by it: they are written
+    once, not materialised a second time.
+    """
+    if run_ts is None:
+        run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     stored = read_target(spark, target, is_table)
     changes = rows if stored is None else new_or_changed(rows, current_state(stored, list(keys)), keys, columns)
-    # written once, so the count reported and the rows appended are the same rows
-    changes = cut_lineage(changes)
     sinks.append_versioned(changes, target, columns, run_ts, partition_by=partition_by, is_table=is_table)
-    return changes
+    written = read_target(spark, target, is_table)
+    return written.where(F.col(K.LOAD_TS) == F.lit(run_ts).cast("timestamp_ntz")).select(*columns)
 
 
 def load_shipment_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
