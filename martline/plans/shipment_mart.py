@@ -69,15 +69,22 @@ def lead_times(route_legs: DataFrame, service_legs: DataFrame) -> DataFrame:
     return route_lead_time(distinct_legs(route_legs), service_legs)
 
 
-def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFrame:
-    """Candidate mart rows (the 21 mart columns, cast to ``SCHEMA``)."""
+def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
+    """Candidate mart rows (the 21 mart columns, cast to ``SCHEMA``).
+
+    ``client_in_join``: join headers to items and stages on (client, shipment
+    number) instead of the shipment number alone (the source's behaviour).
+    It is the same with one client, avoids the fan-out across several
+    clients, and reuses the partitioning of the version windows, which are
+    keyed by (client, shipment number).
+    """
     k = _pref(actual.vttk(src["vttk"]), "k_")
     items = actual.vttp(src["vttp"])
     deliveries = actual.likp(src["likp"])
-    p = _pref(items.where(F.col("tpnum") == 1).select("tknum", "vbeln"), "p_")
+    p = _pref(items.where(F.col("tpnum") == 1).select("mandt", "tknum", "vbeln"), "p_")
     lk = _pref(deliveries.select("vbeln", "wadat", "vkorg", "kunnr"), "l_")
     o = _pref(actual.otif_delivery(src["otif_delivery"]).drop("TECH_LOAD_TS"), "o_")
-    s = _pref(actual.vtts(src["vtts"]).select("tknum", "vstel"), "s_")
+    s = _pref(actual.vtts(src["vtts"]).select("mandt", "tknum", "vstel"), "s_")
     d = _pref(
         actual.reference_dim(src["delivery_point_ref"], ["delivery_point_code"], resolve_dims)
         .select("delivery_point_code", "delivery_point_dashboard_name"),
@@ -101,9 +108,13 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFra
     # version-resolved right sides keep the partitioning of their own key.
     k = k.withColumn("k_no", to_bigint("k_tknum"))
     ship_no = F.col("k_no")
+    def same_shipment(other: str):
+        cond = F.col("k_tknum") == F.col(f"{other}_tknum")
+        return (cond & (F.col("k_mandt") == F.col(f"{other}_mandt"))) if client_in_join else cond
+
     x = (
-        k.join(p, F.col("k_tknum") == F.col("p_tknum"), "left")
-        .join(s, F.col("k_tknum") == F.col("s_tknum"), "left")
+        k.join(p, same_shipment("p"), "left")
+        .join(s, same_shipment("s"), "left")
         .join(t, F.col("k_tknum") == F.col("t_tknum"), "left")
         .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")

@@ -38,15 +38,19 @@ SCHEMA = T.StructType(
 COLUMNS = tuple(f.name for f in SCHEMA.fields)
 
 
-def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFrame:
-    """Live shipment headers with first item, its delivery, stage and dimensions."""
-    k = actual.vttk(src["vttk"]).select(F.col("tknum").alias("k_tknum"), F.col("zzmatrix").alias("k_zzmatrix"),
-                                        F.col("add02").alias("k_add02"))
+def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
+    """Live shipment headers with first item, its delivery, stage and dimensions.
+
+    ``client_in_join`` as in ``shipment_mart.enriched``.
+    """
+    k = actual.vttk(src["vttk"]).select(F.col("mandt").alias("k_mandt"), F.col("tknum").alias("k_tknum"),
+                                        F.col("zzmatrix").alias("k_zzmatrix"), F.col("add02").alias("k_add02"))
     p = actual.vttp(src["vttp"]).where(F.col("tpnum") == 1).select(
-        F.col("tknum").alias("p_tknum"), F.col("vbeln").alias("p_vbeln"))
+        F.col("mandt").alias("p_mandt"), F.col("tknum").alias("p_tknum"), F.col("vbeln").alias("p_vbeln"))
     lk = actual.likp(src["likp"]).select(F.col("vbeln").alias("l_vbeln"), F.col("wadat").alias("l_wadat"),
                                          F.col("vkorg").alias("l_vkorg"))
-    s = actual.vtts(src["vtts"]).select(F.col("tknum").alias("s_tknum"), F.col("vstel").alias("s_vstel"))
+    s = actual.vtts(src["vtts"]).select(F.col("mandt").alias("s_mandt"), F.col("tknum").alias("s_tknum"),
+                                        F.col("vstel").alias("s_vstel"))
     d = actual.reference_dim(src["delivery_point_ref"], ["delivery_point_code"], resolve_dims).select(
         F.col("delivery_point_code").alias("d_code"), F.col("delivery_point_dashboard_name").alias("d_name"))
     b = actual.reference_dim(src["business_unit_ref"], ["business_unit_code", "shipping_point_code"],
@@ -54,18 +58,22 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFr
         F.col("business_unit_code").alias("b_bu"), F.col("shipping_point_code").alias("b_sp"),
         F.col("business_unit_name").alias("b_name"))
     # joins on the same key are adjacent (shipment number, then delivery)
+    def same_shipment(other: str):
+        cond = F.col("k_tknum") == F.col(f"{other}_tknum")
+        return (cond & (F.col("k_mandt") == F.col(f"{other}_mandt"))) if client_in_join else cond
+
     return (
-        k.join(p, F.col("k_tknum") == F.col("p_tknum"), "left")
-        .join(s, F.col("k_tknum") == F.col("s_tknum"), "left")
+        k.join(p, same_shipment("p"), "left")
+        .join(s, same_shipment("s"), "left")
         .join(lk, F.col("p_vbeln") == F.col("l_vbeln"), "left")
         .join(b, (F.col("l_vkorg") == F.col("b_bu")) & (F.col("s_vstel") == F.col("b_sp")), "left")
         .join(d, F.col("k_add02") == F.col("d_code"), "left")
     )
 
 
-def day_cells(src: Mapping[str, DataFrame], resolve_dims: bool = True) -> DataFrame:
+def day_cells(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
     """Shipments counted per (date, four dimensions), with calendar keys."""
-    rows = shipments(src, resolve_dims)
+    rows = shipments(src, resolve_dims, client_in_join)
     dims = {
         V.SC: sales_channel("k_zzmatrix", "l_vkorg", otherwise=K.NO_DATA),
         V.BU: business_unit("b_name", "l_vkorg", otherwise=K.NO_DATA),

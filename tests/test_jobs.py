@@ -55,3 +55,13 @@ def test_reports_append(spark, tmp_dir):
     rep = spark.read.option("header", True).csv(path)
     assert rep.count() == 14 and set(rep.columns) == {"date", "environment", "dm_table", "validation_rule",
                                                        "validation_result"}
+
+
+def test_client_in_join_same_result_with_one_client(spark):
+    src = TD.staging(spark, SF)
+    a = shipment_mart.enriched(src)
+    b = shipment_mart.enriched(src, client_in_join=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    c = variability_mart.day_cells(src)
+    e = variability_mart.day_cells(src, client_in_join=True)
+    assert c.exceptAll(e).count() == 0 and e.exceptAll(c).count() == 0
