@@ -59,6 +59,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--target", required=True, help="target path (or table name with --table)")
         s.add_argument("--table", action="store_true", help="target is a catalog table")
         s.add_argument("--run-ts", default=None, help="load timestamp (default: now)")
+        s.add_argument("--client-in-join", action="store_true",
+                       help="join headers to items and stages on (client, shipment number)")
     k = sub.add_parser("key-check")
     k.add_argument("tables", nargs="+", help="name=path of each Parquet table to check (names from the key registry)")
     k.add_argument("--environment", default="prod")
@@ -76,10 +78,11 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | N
     args = _parser().parse_args(list(argv))
     spark = spark or get_spark(app=f"martline-{args.job}")
     if args.job == "shipment-mart":
-        return jobs.load_shipment_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts, args.table)
+        return jobs.load_shipment_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts,
+                                       args.table, client_in_join=args.client_in_join)
     if args.job == "variability-mart":
         return jobs.load_variability_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts,
-                                          args.table)
+                                          args.table, client_in_join=args.client_in_join)
     if args.job == "shipment-points":
         jobs.rebuild_shipment_points(ParquetStaging(spark, args.staging)["tvst"], args.target, args.run_ts,
                                      args.table)

@@ -56,21 +56,22 @@ def _incremental(spark, rows: DataFrame, target: str, keys: Sequence[str], colum
 
 
 def load_shipment_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
-                       is_table: bool = False, resolve_dims: bool = True) -> DataFrame:
+                       is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
     """E1: append new or changed shipment rows; returns the appended rows."""
-    rows = shipment_mart.enriched(src, resolve_dims)
+    rows = shipment_mart.enriched(src, resolve_dims, client_in_join)
     return _incremental(spark, rows, target, [shipment_mart.KEY], shipment_mart.COLUMNS, run_ts, is_table)
 
 
 def load_variability_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
-                          is_table: bool = False, resolve_dims: bool = True) -> DataFrame:
+                          is_table: bool = False, resolve_dims: bool = True,
+                          client_in_join: bool = False) -> DataFrame:
     """E2: append new or changed variability rows; returns the appended rows.
 
     Day cells feed the base rows and both leaf aggregates, so they are
     written once (checkpoint) and read by all of them. The mart is
     partitioned by year on disk so readers of a period prune files.
     """
-    day = cut_lineage(variability_mart.day_cells(src, resolve_dims))
+    day = cut_lineage(variability_mart.day_cells(src, resolve_dims, client_in_join))
     rows = variability_mart.mart_rows(day)
     return _incremental(spark, rows, target, variability_mart.KEYS, variability_mart.COLUMNS, run_ts, is_table,
                         partition_by=["year"])

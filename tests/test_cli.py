@@ -17,7 +17,8 @@ def test_cli_jobs(spark, tmp_dir):
     staging = os.path.join(tmp_dir, "staging")
     _write_staging(spark, staging)
     mm, mv, sp = (os.path.join(tmp_dir, x) for x in ("metrics_main", "metrics_variability", "shipment_point_ref"))
-    first = cli.run(["shipment-mart", "--staging", staging, "--target", mm, "--run-ts", "2024-01-01 00:00:00"],
+    first = cli.run(["shipment-mart", "--staging", staging, "--target", mm, "--run-ts", "2024-01-01 00:00:00",
+                     "--client-in-join"],
                     spark).count()
     again = cli.run(["shipment-mart", "--staging", staging, "--target", mm, "--run-ts", "2024-01-02 00:00:00"],
                     spark).count()
