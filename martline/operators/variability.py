@@ -214,7 +214,7 @@ def wide_metrics(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> Dat
     nm = F.col("n") * F.col("m")
     all_dest = METRIC_BY_NAME["all_dest"].dims
     other = [d for d in dims if d not in all_dest]
-    first_of_group = F.row_number().over(w(all_dest).orderBy(*other)) == 1
+    first_of_group = F.row_number().over(w(all_dest).orderBy(*(other or [F.lit(0)]))) == 1
     sig3 = F.sum("n").over(w(all_dest)) * F.max("m").over(w(all_dest))
     fine = fine.select("*", F.when(first_of_group, sig3).otherwise(F.lit(0)).alias("__sig3"))
 
