@@ -46,3 +46,19 @@ def test_append_is_idempotent(spark, tmp_dir):
     cur = current_state(spark.read.parquet(target), ["k"])
     assert [r.k for r in new_or_changed(changed, cur, ["k"], cols).collect()] == [1]
     assert spark.read.parquet(target).count() == 2
+
+
+def test_failed_append_leaves_target_unchanged(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    target = f"{tmp_dir}/mart"
+    good = spark.createDataFrame([(1, "x", None), (2, "y", "z")], SCHEMA)
+    sinks.append_versioned(good, target, ["k", "a", "b"], run_ts=dt.datetime(2024, 1, 1))
+    bad = spark.range(0, 1000, 1, 4).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") == 999, F.raise_error(F.lit("task fails mid-write"))).otherwise(F.lit("v")).alias("a"),
+        F.lit(None).cast("string").alias("b"))
+    with pytest.raises(Exception):
+        sinks.append_versioned(bad, target, ["k", "a", "b"], run_ts=dt.datetime(2024, 1, 2))
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == [1, 2]
