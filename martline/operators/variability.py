@@ -77,6 +77,9 @@ METRICS: tuple[Metric, ...] = (
     Metric("only_dest", (DEST,), "leaf", None, "dest"),
 )
 METRIC_BY_NAME = {m.name: m for m in METRICS}
+# Order in which the wide mart applies the metric windows (sort sharing).
+WINDOW_ORDER = ("all_dest", "all_sp", "all_bu", "sp", "bu", "sc", "total",
+                "sc_bu_dest", "sc_dest", "bu_dest", "only_dest", "dest")
 
 MART_KEYS = (SC, BU, SP, "delivery_point", "week", "month", "year")
 MART_COLUMNS = MART_KEYS + tuple(
@@ -216,22 +219,25 @@ def wide_metrics(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> Dat
     other = [d for d in dims if d not in all_dest]
     first_of_group = F.row_number().over(w(all_dest).orderBy(*(other or [F.lit(0)]))) == 1
     sig3 = F.sum("n").over(w(all_dest)) * F.max("m").over(w(all_dest))
-    fine = fine.select("*", F.when(first_of_group, sig3).otherwise(F.lit(0)).alias("__sig3"))
+    x = fine.select("*", F.when(first_of_group, sig3).otherwise(F.lit(0)).alias("__sig3"))
 
-    cols = []
-    for metric in METRICS:
-        name = f"{metric.column}_{kind}_variability"
+    def value(metric: Metric) -> Column:
         ds = list(metric.dims)
         if metric.form == "leaf" and tuple(ds) == tuple(dims):
-            v = ratio(nm, "a")
-        elif metric.form == "leaf":
-            v = ratio(F.sum("n").over(w(ds)) * F.max("m").over(w(ds)), F.sum("a").over(w(ds)))
-        elif metric.base == "dest":
-            v = ratio(F.sum(nm).over(w(ds)), F.sum("a").over(w(ds)))
-        else:
-            v = ratio(F.sum("__sig3").over(w(ds)), F.sum("a").over(w(ds)))
-        cols.append(v.alias(name))
-    return fine.select(*period, *dims, *cols)
+            return ratio(nm, "a")
+        if metric.form == "leaf":
+            return ratio(F.sum("n").over(w(ds)) * F.max("m").over(w(ds)), F.sum("a").over(w(ds)))
+        if metric.base == "dest":
+            return ratio(F.sum(nm).over(w(ds)), F.sum("a").over(w(ds)))
+        return ratio(F.sum("__sig3").over(w(ds)), F.sum("a").over(w(ds)))
+
+    # One select per metric, in an order where each window's keys are a
+    # prefix of the previous one's sort (bu,sp,dest > bu,sp > bu and
+    # sc,bu,sp > sc,bu > sc > period): those windows share one sort.
+    for name in WINDOW_ORDER:
+        metric = METRIC_BY_NAME[name]
+        x = x.select("*", value(metric).alias(f"{metric.column}_{kind}_variability"))
+    return x.select(*period, *dims, *[f"{m.column}_{kind}_variability" for m in METRICS])
 
 
 def variability_mart(day: DataFrame) -> DataFrame:
