@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import decontaminate, language_id, licenses, line_dedup, mixing, quality_classifier, quality_rules
+from martline.llm import (
+    decontaminate,
+    jaccard_join,
+    language_id,
+    licenses,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+)
 from martline.llm.common import table
 
 
@@ -26,6 +37,18 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
@@ -38,9 +61,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+QUERIES = (
+    op1_quality_rules,
+    op2_quality_classifier,
+    op3_decontamination,
+    op4_license_scan,
+    op5_suffix_dedup,
+    op6_jaccard_join,
+    op7_lm_scoring,
+    op8_language_id,
+    op9_line_dedup,
+    op10_mixing,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_decontamination, op4_license_scan, op8_language_id, op9_line_dedup, op10_mixing)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL of the queries that SQL can express."""
     return {"op1_quality_rules": quality_rules.ORACLE, "op3_decontamination": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE}
