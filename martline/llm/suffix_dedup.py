@@ -25,7 +25,6 @@ same id remove nothing from each other; an empty table gives an empty result; ot
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,8 @@ from martline.llm.hashing import mix, prefix_hash, text_blocks
 
 WINDOW, KGRAM = 50, 24
 LAST = np.iinfo(np.int64).max
+CHUNK = 4 << 20
+SPREAD = 0x9E6C63D0876A9A47
 
 
 def ranks(column: pa.ChunkedArray) -> np.ndarray:
@@ -44,57 +45,86 @@ def ranks(column: pa.ChunkedArray) -> np.ndarray:
     return np.array([LAST if i is None else i for i in column.to_pylist()], np.int64)
 
 
-def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, anchor place, first window, last window, text) of every run of windows with one anchor."""
-    n = len(buf)
+class Runs:
+    """Runs of neighbouring windows with one anchor, over the concatenated texts of a chunk.
+
+    ``first`` and ``end`` are the byte range of all windows of a run, ``offset`` the anchor's place in it, ``text``
+    the document, ``anchor`` and ``string`` the hashes of the anchor and of the whole range.
+    """
+
+    def __init__(self, column: pa.ChunkedArray):
+        parts, low, bufs = [], 0, []
+        for at, buf, offsets in text_blocks(column):
+            first, end, offset, anchor, string = block_runs(buf, offsets)
+            text = np.searchsorted(offsets, first, "right") - 1 + at
+            parts.append((first + low, end + low, offset, text, anchor, string))
+            low += len(buf)
+            bufs.append((at, buf, offsets))
+        self.blocks = bufs
+        self.first, self.end, self.offset, self.text, self.anchor, self.string = (np.concatenate([p[i] for p in parts]) for i in range(6))
+
+    def keep(self, alive: np.ndarray) -> None:
+        for name in ("first", "end", "offset", "text", "anchor", "string"):
+            setattr(self, name, getattr(self, name)[alive])
+
+
+def block_runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first, end, offset of the anchor, anchor hash, string hash) of the runs of a block of texts."""
+    n, none = len(buf), np.zeros(0, np.int64)
     if n < WINDOW:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     sums, down = prefix_hash(buf)
-    value = mix((sums[KGRAM:] - sums[: n - KGRAM + 1]) * down[: n - KGRAM + 1])
-    least, place = value, np.arange(len(value), dtype=np.int32)
+    # hash in the high half, place in the low one: one minimum finds the least hash and, if equal, the leftmost
+    packed = (sums[KGRAM:] - sums[: n - KGRAM + 1]) * down[: n - KGRAM + 1]
+    packed *= np.uint64(SPREAD)
+    packed &= np.uint64(0xFFFFFFFF00000000)
+    packed |= np.arange(len(packed), dtype=np.uint64)
     span, width = 1, WINDOW - KGRAM + 1
-
-    def join(least: np.ndarray, place: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
-        a, b = least[: len(least) - shift], least[shift:]
-        right = b < a
-        return np.where(right, b, a), np.where(right, place[shift:], place[: len(place) - shift])
-
     while 2 * span <= width:
-        least, place = join(least, place, span)
+        packed = np.minimum(packed[:-span], packed[span:])
         span *= 2
     if span < width:
-        least, place = join(least, place, width - span)
-    size = np.diff(offsets)
-    text = np.repeat(np.arange(len(size)), size)[: len(place)]
-    at = np.arange(len(place))
-    ok = at + WINDOW <= offsets[1:][text]
-    at, place, text = at[ok], place[ok].astype(np.int64), text[ok]
-    if not len(at):
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))
-    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])]))
-    last = np.append(new[1:], len(at)) - 1
-    return value[place[new]], place[new], at[new], at[last], text[new]
-
-
-def chunk_anchors(column: pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple]]:
-    for at, buf, offsets in text_blocks(column):
-        yield at, buf, offsets, anchors(buf, offsets)
-
-
-def high_bits(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(24)
+        packed = np.minimum(packed[: span - width], packed[width - span :])
+    place = (packed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    # windows that would cross the end of a text belong to none
+    cross = np.zeros(n + 1, np.int32)
+    np.add.at(cross, np.maximum(offsets[1:] - WINDOW + 1, offsets[:-1]), 1)
+    np.add.at(cross, offsets[1:], -1)
+    inside = (np.cumsum(cross) == 0)[: len(place)]
+    change = np.empty(len(place), np.bool_)
+    change[0] = True
+    change[1:] = (place[1:] != place[:-1]) | (inside[1:] != inside[:-1])
+    new = np.flatnonzero(change)
+    last = np.append(new[1:], len(place)) - 1
+    ok = inside[new]
+    first, end = new[ok], last[ok] + WINDOW
+    at = place[first].astype(np.int64)
+    anchor = mix((sums[at + KGRAM] - sums[at]) * down[at])
+    return first, end, at - first, anchor, string_hashes(sums, down, first, end)
+
+
+def string_hashes(sums: np.ndarray, down: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
+
+
+def ranges(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, place) of every element of the ranges [first, first + size)."""
+    owner = np.repeat(np.arange(len(size)), size)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(size) - size - first, size)
 
 
 def _send_anchors(parts: int):
     def run(t: pa.Table) -> pa.Table:
         chunk, rank = t.column("chunk")[0].as_py(), ranks(t.column("doc_id"))
-        found = [(a[0], rank[at + a[4]]) for at, _, _, a in chunk_anchors(t.column("text"))]
-        hashes, whose = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        runs = Runs(t.column("text"))
+        hashes, whose = runs.anchor, rank[runs.text]
         distinct, least, most = least_and_most(hashes, whose)
         several = least != most
         rows = []
         for p, i in enumerate(by_part(distinct, parts)):
-            high = high_bits(distinct[i])
+            if not len(i):
+                continue
+            high = distinct[i] >> np.uint64(24)
             data = (high >> np.uint64(8)).astype(np.uint32).tobytes() + (high & np.uint64(255)).astype(np.uint8).tobytes() + np.packbits(several[i]).tobytes()
             rows.append((chunk, p, str(len(i)), data))
         return messages(rows)
@@ -129,50 +159,41 @@ def _repeated_anchors(t: pa.Table) -> pa.Table:
 
 
 class Strings:
-    """The byte strings of a chunk's surviving anchors: distinct ones by partition, and where each occurs."""
+    """A chunk's surviving runs and their distinct strings, in the order (partition, string hash)."""
 
     def __init__(self, docs: pa.Table, answers: dict[int, bytes], parts: int):
         self.rank = ranks(docs.column("doc_id"))
-        self.blocks = list(chunk_anchors(docs.column("text")))
-        hashes = np.concatenate([b[3][0] for b in self.blocks])
-        distinct, inverse = np.unique(hashes, return_inverse=True)
+        self.runs = runs = Runs(docs.column("text"))
+        distinct, inverse = np.unique(runs.anchor, return_inverse=True)
         alive = np.zeros(len(distinct), np.bool_)
         for p, i in enumerate(by_part(distinct, parts)):
-            alive[i] = np.unpackbits(np.frombuffer(answers[p], np.uint8), count=len(i)).astype(np.bool_)
-        alive, low = alive[inverse], 0
-        self.places: list[tuple[int, int, int, bytes]] = []  # block, first window, text, string
-        least: dict[bytes, list[int]] = {}
-        for k, (at, buf, _, (h, _, first, last, text)) in enumerate(self.blocks):
-            data = buf.tobytes()
-            i = np.flatnonzero(alive[low : low + len(h)])
-            low += len(h)
-            part = (h[i] % np.uint64(parts)).astype(np.int64)
-            for a, b, d, p in zip(first[i].tolist(), (last[i] + WINDOW).tolist(), (text[i] + at).tolist(), part.tolist()):
-                s = data[a:b]
-                self.places.append((k, a, d, s))
-                r = int(self.rank[d])
-                if s not in least:
-                    least[s] = [r, p]
-                elif r < least[s][0]:
-                    least[s][0] = r
-        self.by_part: list[list[bytes]] = [[] for _ in range(parts)]
-        for s, (_, p) in least.items():
-            self.by_part[p].append(s)
-        for strings in self.by_part:
-            strings.sort()
-        self.least = least
+            if len(i):
+                alive[i] = np.unpackbits(np.frombuffer(answers[p], np.uint8), count=len(i)).astype(np.bool_)
+        runs.keep(alive[inverse])
+        part = (runs.anchor % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((runs.string, part))
+        new = np.ones(len(order), np.bool_)
+        new[1:] = runs.string[order[1:]] != runs.string[order[:-1]]
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        self.sample = order[new]  # one run of each distinct string
+        self.size = (runs.end - runs.first)[self.sample]
+        starts = np.flatnonzero(new)
+        self.least = np.minimum.reduceat(self.rank[runs.text][order], starts) if len(starts) else np.zeros(0, np.int64)
+        self.bounds = np.searchsorted(part[self.sample], np.arange(parts + 1))
 
 
 def _send_strings(parts: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = docs.column("chunk")[0].as_py()
         s = Strings(docs, dict(zip(answers.column("part").to_pylist(), answers.column("data").to_pylist())), parts)
+        buf = np.concatenate([b[1] for b in s.runs.blocks])
         rows = []
-        for p, strings in enumerate(s.by_part):
-            if strings:
-                sizes = np.array([len(x) - WINDOW for x in strings], np.uint8)
-                least = np.array([s.least[x][0] for x in strings], np.int64)
-                rows.append((chunk, p, str(len(strings)), sizes.tobytes() + least.tobytes() + b"".join(strings)))
+        for p in np.flatnonzero(np.diff(s.bounds)):
+            i = slice(s.bounds[p], s.bounds[p + 1])
+            _, place = ranges(s.runs.first[s.sample[i]], s.size[i])
+            head = (s.size[i] - WINDOW).astype(np.uint8).tobytes() + s.runs.offset[s.sample[i]].astype(np.uint8).tobytes() + s.least[i].tobytes()
+            rows.append((chunk, int(p), str(i.stop - i.start), head + buf[place].tobytes()))
         return messages(rows)
 
     return run
@@ -203,24 +224,37 @@ def least_ids(windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _sort_strings(t: pa.Table) -> pa.Table:
-    part, sources, sizes, least, data = t.column("part")[0].as_py(), [], [], [], []
+    part, sources, sizes, offsets, least, data = t.column("part")[0].as_py(), [], [], [], [], []
     for chunk, kind, blob in zip(t.column("chunk").to_pylist(), t.column("kind").to_pylist(), t.column("data").to_pylist()):
         n = int(kind)
         sources.append((chunk, n))
-        sizes.append(np.frombuffer(blob, np.uint8, n).astype(np.int64) + 1)
-        least.append(np.frombuffer(blob, np.int64, n, n))
-        data.append(np.frombuffer(blob, np.uint8, offset=9 * n))
-    windows, ids, buf = np.concatenate(sizes), np.concatenate(least), np.concatenate(data)
-    first = np.cumsum(windows + WINDOW - 1) - (windows + WINDOW - 1)
-    owner = np.repeat(np.arange(len(windows)), windows)
+        sizes.append(np.frombuffer(blob, np.uint8, n).astype(np.int64) + WINDOW)
+        offsets.append(np.frombuffer(blob, np.uint8, n, n))
+        least.append(np.frombuffer(blob, np.int64, n, 2 * n))
+        data.append(np.frombuffer(blob, np.uint8, offset=10 * n))
+    size, ids, buf, at = np.concatenate(sizes), np.concatenate(least), np.concatenate(data), np.concatenate(offsets)
+    first = np.cumsum(size) - size
+    sums, down = prefix_hash(buf)
+    # strings that chunks have in common are sorted once, with the least id of all
+    _, sample, which = np.unique(string_hashes(sums, down, first, first + size), return_index=True, return_inverse=True)
+    own = np.full(len(sample), LAST, np.int64)
+    np.minimum.at(own, which, ids)
+    size, first = size[sample], first[sample]
+    a = first + at[sample]
+    _, group, members = np.unique(sums[a + KGRAM] * down[a] - sums[a] * down[a], return_inverse=True, return_counts=True)
+    windows = size - WINDOW + 1
+    owner, place = ranges(first, windows)
+    found = own[owner]
+    open_ = np.flatnonzero(members[group][owner] > 1)  # an anchor with one string: its windows share the string's id
+    if len(open_):
+        found[open_] = least_ids(np.lib.stride_tricks.sliding_window_view(buf, WINDOW)[place[open_]], found[open_])
     start = np.cumsum(windows) - windows
-    at = first[owner] + np.arange(len(owner)) - start[owner]
-    found = least_ids(np.lib.stride_tricks.sliding_window_view(buf, WINDOW)[at], ids[owner])
     rows, low = [], 0
     for chunk, n in sources:
-        lo, hi = start[low], start[low + n - 1] + windows[low + n - 1]
+        mine = which[low : low + n]
+        string, w = ranges(start[mine], windows[mine])
+        value = found[w]
         # runs of windows with one answer: (length of the run, id)
-        value, string = found[lo:hi], owner[lo:hi]
         new = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (string[1:] != string[:-1])]))
         length = np.diff(np.append(new, len(value)))
         rows.append((chunk, part, "least", length.astype(np.uint8).tobytes() + value[new].tobytes()))
@@ -237,25 +271,29 @@ def _remove(parts: int):
         for part, kind, data in zip(answers.column("part").to_pylist(), answers.column("kind").to_pylist(), answers.column("data").to_pylist()):
             by[kind][part] = data
         s = Strings(docs, by["repeated"], parts)
-        known: dict[bytes, np.ndarray] = {}
-        for p, strings in enumerate(s.by_part):
-            if strings:
-                blob = by["least"][p]
-                n = len(blob) // 9
-                value = np.repeat(np.frombuffer(blob, np.int64, n, n), np.frombuffer(blob, np.uint8, n))
-                ends = np.cumsum([len(x) - WINDOW + 1 for x in strings])
-                known.update(zip(strings, np.split(value, ends[:-1])))
-        marks = [np.zeros(len(buf) + 1, np.int32) for _, buf, _, _ in s.blocks]
-        for k, a, d, x in s.places:
-            hit = np.flatnonzero(known[x] < s.rank[d])
-            if len(hit):
-                np.add.at(marks[k], a + hit, 1)
-                np.add.at(marks[k], a + hit + WINDOW, -1)
-        ids, out = docs.column("doc_id").to_pylist(), []
-        for mark, (at, buf, offsets, _) in zip(marks, s.blocks):
+        total = sum(len(b[1]) for b in s.runs.blocks)
+        known = []
+        for p in np.flatnonzero(np.diff(s.bounds)):
+            blob = by["least"][int(p)]
+            n = len(blob) // 9
+            known.append(np.repeat(np.frombuffer(blob, np.int64, n, n), np.frombuffer(blob, np.uint8, n)))
+        gone = np.zeros(total, np.bool_)
+        if known:
+            known = np.concatenate(known)
+            windows = s.size - WINDOW + 1
+            start = np.cumsum(windows) - windows
+            # each run looks up the answers of its string's windows
+            owner, w = ranges(start[s.which], windows[s.which])
+            hit = known[w] < s.rank[s.runs.text][owner]
+            place = (s.runs.first[owner] + w - start[s.which][owner])[hit]
+            mark = np.bincount(place, minlength=total + 1) - np.bincount(place + WINDOW, minlength=total + 1)
             gone = np.cumsum(mark[:-1]) > 0
+        ids, out, low = docs.column("doc_id").to_pylist(), [], 0
+        for at, buf, offsets in s.runs.blocks:
+            here = gone[low : low + len(buf)]
+            low += len(buf)
             for j in range(len(offsets) - 1):
-                mine, text = gone[offsets[j] : offsets[j + 1]], buf[offsets[j] : offsets[j + 1]]
+                mine, text = here[offsets[j] : offsets[j + 1]], buf[offsets[j] : offsets[j + 1]]
                 edges = np.diff(np.concatenate([[False], mine, [False]]).astype(np.int8))
                 spans = list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
                 out.append((ids[at + j], len(text), int(mine.sum()), len(spans), hashlib.sha256(text[~mine].tobytes()).hexdigest(), [{"start": a, "end": b} for a, b in spans]))
@@ -268,7 +306,7 @@ def _remove(parts: int):
 
 def repeated_substrings(docs: DataFrame) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, hash of what stays, and the removed byte ranges."""
-    d, parts = chunked(docs)
+    d, parts = chunked(docs, CHUNK)
     mine = d.groupBy("chunk")
     repeated = mine.applyInArrow(_send_anchors(parts), MESSAGE).groupBy("part").applyInArrow(_repeated_anchors, MESSAGE)
     strings = mine.cogroup(repeated.groupBy("chunk")).applyInArrow(_send_strings(parts), MESSAGE)
