@@ -35,6 +35,7 @@ from martline.session import cut_lineage
 
 BASE, PROBES, BITS = 1.5, 5, 10
 FILTER_BYTES = 64 << 20
+CHUNK = 4 << 20
 PAIR_WEIGHT, MIN_PAIR = 0.2, 2
 #: Hashes of the end of a text and of what stands before its first word; words never have them but by accident.
 END, START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -110,11 +111,11 @@ def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> np.ndarray
 class LogFrequencyFilter:
     """All segments together, and approximate counts by probing them."""
 
-    def __init__(self, segments: list[bytes]):
-        self.parts = len(segments)
-        self.bits = np.array([8 * len(s) for s in segments], np.uint64)
+    def __init__(self, sizes: list[int], data: bytes):
+        self.parts = len(sizes)
+        self.bits = np.array(sizes, np.uint64) * np.uint64(8)
         self.first = np.cumsum(self.bits) - self.bits
-        self.data = np.frombuffer(b"".join(segments), np.uint8)
+        self.data = np.frombuffer(data, np.uint8)
         self.value = level_counts(64)
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
@@ -195,8 +196,8 @@ _TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64
 
 def _score(shared, parts: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        segments, (n, v, n1, n2) = shared.value
-        lookup = LogFrequencyFilter(segments)
+        sizes, data, (n, v, n1, n2) = shared.value
+        lookup = LogFrequencyFilter(sizes, data)
         ids = docs.column("doc_id").to_pylist()
         token, before, doc = tokens(docs.column("text"))
         words, place = np.unique(token, return_inverse=True)
@@ -231,12 +232,12 @@ def _score(shared, parts: int):
 def score(docs: DataFrame) -> DataFrame:
     """The contract's rows: exact add-one unigram score and the model's log10 probability of every text."""
     spark = docs.sparkSession
-    d, n = chunked(docs)
+    d, n = chunked(docs, CHUNK)
     parts = n
     merged = cut_lineage(d.groupBy("chunk").applyInArrow(_count(parts), MESSAGE).groupBy("part").applyInArrow(_merge(parts), MESSAGE))
     own = {(r["part"], r["kind"]): bytes(r["data"]) for r in merged.where("chunk = -1").toLocalIterator()}  # within FILTER_BYTES
     segments = [own.get((p, "filter"), bytes(8)) for p in range(parts)]
     stats = sum((np.frombuffer(own[p, "stats"], np.int64) for p in range(parts) if (p, "stats") in own), np.zeros(4, np.int64))
-    shared = spark.sparkContext.broadcast((segments, tuple(int(x) for x in stats)))
+    shared = spark.sparkContext.broadcast(([len(s) for s in segments], b"".join(segments), tuple(int(x) for x in stats)))
     answers = merged.where("kind = 'count'").select("chunk", "part", "data")
     return d.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(shared, parts), RESULT)
