@@ -43,7 +43,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or list(HEADLINE)
     spark = get_spark(f"local[{cpus}]", app="martline-bench", shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     qs = catalog.queries()
     times: dict[str, float | None] = {}
     errors: dict[str, str] = {}

@@ -118,11 +118,11 @@ def label_from_table(
     return joined.withColumn(out, label).drop("__code", "__label")
 
 
-def leg_code(start, end, suffix: str = "Auto", max_len: int | None = 256) -> Column:
+def leg_code(start, end, suffix: str = "Auto", max_len: int | None = None) -> Column:
     """Composite text key ``start_end_suffix``; NULL if any part is NULL.
 
-    ``max_len`` truncates like a bounded VARCHAR would (a plain cast to
-    ``varchar(n)`` does not truncate in Spark).
+    ``max_len`` truncates like a bounded VARCHAR would. It is off by default:
+    the code is a join key, and two long codes must not match by a prefix.
     """
     key = F.concat(as_col(start), F.lit("_"), as_col(end), F.lit("_" + suffix))
     return key if max_len is None else F.substring(key, 1, max_len)

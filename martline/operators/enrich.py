@@ -7,7 +7,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +68,3 @@ def route_lead_time(
     per_code = service_legs.groupBy(F.col(code).alias("__code")).agg(F.sum(time).alias("__t"))
     joined = legs.select(route, leg).join(per_code, F.col(leg) == F.col("__code"), "left")
     return joined.groupBy(route).agg(F.sum("__t").alias(out))
-
-
-def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``SELECT DISTINCT cols`` (same plan as a group-by without aggregates)."""
-    return df.select(*cols).distinct()

@@ -36,6 +36,8 @@ def first_column_rows(spark: SparkSession, folder: str) -> DataFrame | None:
         raw = (
             spark.read.option("header", True)
             .option("inferSchema", False)
+            .option("multiLine", True)  # a quoted value may hold line feeds
+            .option("escape", '"')  # and doubled quotes
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.csv")
             .csv(folder)
@@ -48,12 +50,17 @@ def first_column_rows(spark: SparkSession, folder: str) -> DataFrame | None:
         raise
     if not raw.columns:
         return None
-    first = raw.columns[0]
-    base = re.escape(folder.rstrip("/").split(":", 1)[-1].lstrip("/"))
+    # the header may hold any characters, so the column is taken by place
+    raw = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
+    # the folder's qualified path is a prefix of every file's path
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    location = location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location)
+    base = "^[^:/]*:?/*" + re.escape(location.toUri().getPath().strip("/"))
     # file_path is a URI (a space is %20); decode it, keeping a literal '+'
     path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     source = F.regexp_extract(path, base + "/([^/]+)", 1)
-    return raw.select(source.alias("source"), F.col(first).cast("string").alias("pk"))
+    rows = raw.select(F.col("c0").cast("string").alias("pk"), source.alias("source")).select("source", "pk")
+    return rows.where(F.col("source").endswith(".csv"))  # a plain folder below is no dataset
 
 
 def folder_duplicates(spark: SparkSession, folder: str, run_date: str | None = None) -> DataFrame:

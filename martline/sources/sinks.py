@@ -1,14 +1,16 @@
 """Writers: versioned append, full refresh, report append.
 
-All writes go through Spark's file commit protocol: a failed or retried
-task leaves no partial output, and a job that dies before its commit
-leaves the target as it was, so a rerun of an incremental load computes the
-same new-or-changed rows again.
+Appends go through Spark's file commit protocol: a failed or retried task
+leaves no partial output, and a job that dies before its commit leaves the
+target as it was, so a rerun of an incremental load computes the same
+new-or-changed rows again. A full refresh writes the new rows to a folder of
+their own and publishes them only when they are complete.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -60,13 +62,38 @@ def append_versioned(
 def full_refresh(
     df: DataFrame, target: str, columns: Sequence[str], run_ts=None, fmt: str = "parquet", is_table: bool = False
 ) -> None:
-    """Replace ``target`` with ``df`` in one commit (never visible half empty)."""
+    """Replace ``target`` with ``df``; a run that fails while it computes or writes leaves the old rows.
+
+    The new rows go to a fresh folder beside the target. A catalog table is then pointed at that folder; for a
+    path, the old folder is renamed away, the new one takes its name, and the old one is deleted (if the second
+    rename fails, the first is undone).
+    """
     out = stamp(df.select(*columns), run_ts)
-    w = _writer(out, "overwrite", fmt, None)
+    spark = df.sparkSession
+    if is_table and not spark.catalog.tableExists(target):
+        _writer(out, "errorifexists", fmt, None).saveAsTable(target)
+        return
     if is_table:
-        w.saveAsTable(target)
-    else:
-        w.save(target)
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+        fresh = f"{detail['Location'].rstrip('/')}-{uuid.uuid4().hex}"
+        out.write.format(fmt).save(fresh)
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{fresh}'")
+        spark.catalog.refreshTable(target)
+        return
+    fresh, old = (f"{target.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    out.write.format(fmt).save(fresh)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(path(target))
+    if had and not fs.rename(path(target), path(old)):
+        raise OSError(f"cannot move {target} away; the new rows are in {fresh}")
+    if not fs.rename(path(fresh), path(target)):
+        if had:
+            fs.rename(path(old), path(target))
+        raise OSError(f"cannot publish {fresh} as {target}")
+    if had:
+        fs.delete(path(old), True)
+    spark.catalog.refreshByPath(target)
 
 
 def append_report(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -49,7 +49,8 @@ def test_leg_code_and_casts(spark):
     got = df.select(R.leg_code("a", "b").alias("c"), R.to_bigint("t").alias("n")).collect()
     assert [(r.c, r.n) for r in got] == [("A_B_Auto", 12345678), (None, 12)]
     long = spark.createDataFrame([("x" * 300, "y")], "a string, b string")
-    assert len(long.select(R.leg_code("a", "b").alias("c")).first().c) == 256
+    assert len(long.select(R.leg_code("a", "b").alias("c")).first().c) == 307
+    assert len(long.select(R.leg_code("a", "b", max_len=256).alias("c")).first().c) == 256
     bad = spark.createDataFrame([("12a",)], "t string")
     assert bad.select(R.to_bigint("t", lenient=True).alias("n")).first().n is None
 
