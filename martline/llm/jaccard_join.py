@@ -41,9 +41,10 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = TARGET_RECALL, ma
     """(bands, rows): the longest rows whose bands find a pair at the threshold with the target recall."""
     best = None
     for rows in range(1, max_hashes + 1):
-        bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))) if threshold < 1 else 1
-        if bands * rows <= max_hashes:
-            best = (bands, rows)
+        missed = math.log1p(-(threshold**rows)) if threshold < 1 else -math.inf
+        if missed == 0 or (bands := max(1, math.ceil(math.log(1 - recall) / missed))) * rows > max_hashes:
+            continue
+        best = (bands, rows)
     if best is None:
         raise ValueError("no banding within max_hashes reaches the recall")
     return best
