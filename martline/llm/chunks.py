@@ -4,6 +4,7 @@ A chunk is all documents whose row hash falls into it: about CHUNK_BYTES of text
 chunk pre-aggregates what it knows (each distinct hash once), sends it to the partitions of the hash space and gets
 one answer per hash back. A value that a third of all documents hold is thus sent once a chunk, not once a document.
 Answers match because a chunk's distinct hashes in ascending order are the same whenever it is computed again.
+Partitions that a chunk has nothing for get no message, so messages never outnumber the distinct hashes of the chunks.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ def messages(rows: list[tuple[int, int, str, bytes]]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SCHEMA)], schema=SCHEMA)
 
 
-def by_part(hashes: np.ndarray, parts: int) -> list[np.ndarray]:
-    """For each partition of the hash space the places of its hashes, in the given order."""
+def by_part(hashes: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """(partition, places of its hashes in the given order) for the partitions of the hash space that have any."""
     part = (hashes % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    return np.split(order, np.searchsorted(part[order], np.arange(1, parts)))
+    present, first = np.unique(part[order], return_index=True)
+    return list(zip(present.tolist(), np.split(order, first[1:])))

@@ -3,7 +3,7 @@
 Method. Counts of words and of word pairs are taken over all training documents. A count c is quantised to
 q = 1 + floor(log_BASE c), and the n-gram is put into a Bloom filter q times, once for each level up to q. A
 reader probes level after level until one is missing and takes the middle of the last level's range as the count.
-The filter is broadcast; probabilities come from probes alone:
+Probabilities come from probes alone:
 
     P(w)      = (c(w) - D) / N, and for every unknown word D * V / N (one type), D = n1 / (n1 + 2 n2)
     P(w | v)  = (1 - M) P(w) + M min(1, c(v, w) / c(v)) if v is known, else P(w)
@@ -12,8 +12,10 @@ The contract's ``base_score`` needs exact counts; these come back to each chunk
 
 Scale. A chunk of documents sends each distinct word and pair once, hashed, to the partition of its hash, so
 frequent words are pre-aggregated and the shuffles grow with the corpus. Each partition builds its own segment of
-the filter, ``BITS`` bits an entry and at most ``FILTER_BYTES`` for the whole filter: that bound makes the broadcast
-safe, and beyond it only the filter's error rate grows, not its size. Pairs seen once are counted but not stored.
+the filter, ``BITS`` bits an entry, so the filter grows with the corpus and its error rate stays. Segments of at most
+``FILTER_BYTES`` together are broadcast. A larger filter stays where it is: chunks send their distinct n-grams to the
+partitions, which probe their segments and return levels; scores are the same. Pairs seen once are counted but not
+stored.
 
 Defined cases: NULL and empty texts have one token, the end; NULL ids count as not held out; repeated rows count
 and are scored each; without training tokens every probability is 1; an empty table gives an empty result.
@@ -97,10 +99,10 @@ def bits_of(grams: np.ndarray, at_level: np.ndarray | int, size: np.ndarray | in
         yield (((a + np.uint64(k) * b) & np.uint64(0xFFFFFFFF)) * np.asarray(size).astype(np.uint64)) >> np.uint64(32)
 
 
-def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> np.ndarray:
+def segment(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """One partition's part of the filter, as bytes."""
     q = level(counts)
-    size = int(max(64, min(most_bits, BITS * q.sum()))) // 8 * 8
+    size = int(max(64, BITS * q.sum())) // 8 * 8
     bits = np.zeros(size, np.bool_)
     for j in range(1, int(q.max(initial=0)) + 1):
         for place in bits_of(grams[q >= j], j, size):
@@ -109,16 +111,15 @@ def segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> np.ndarray
 
 
 class LogFrequencyFilter:
-    """All segments together, and approximate counts by probing them."""
+    """Segments (of all partitions, or of one alone), and levels by probing them."""
 
     def __init__(self, sizes: list[int], data: bytes):
         self.parts = len(sizes)
         self.bits = np.array(sizes, np.uint64) * np.uint64(8)
         self.first = np.cumsum(self.bits) - self.bits
         self.data = np.frombuffer(data, np.uint8)
-        self.value = level_counts(64)
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
+    def levels(self, grams: np.ndarray) -> np.ndarray:
         found = np.zeros(len(grams), np.int64)
         part = (grams % np.uint64(self.parts)).astype(np.int64)
         size, first = self.bits[part], self.first[part]
@@ -132,7 +133,22 @@ class LogFrequencyFilter:
             if not len(alive):
                 break
             found[alive] = j
-        return self.value[found]
+        return found.astype(np.uint8)
+
+
+def gram_bytes(grams: np.ndarray) -> bytes:
+    """A pair needs no exact identity: 40 bits beside those of its partition."""
+    return (grams >> np.uint64(32)).astype(np.uint32).tobytes() + (grams >> np.uint64(24)).astype(np.uint8).tobytes()
+
+
+def high_bits(data: bytes, n: int) -> np.ndarray:
+    """The 40 bits that ``gram_bytes`` keeps of each of ``n`` pairs."""
+    return np.frombuffer(data, np.uint32, n).astype(np.uint64) << np.uint64(8) | np.frombuffer(data, np.uint8, n, 4 * n)
+
+
+def pair_keys(high: np.ndarray, part: np.ndarray | int, parts: int) -> np.ndarray:
+    """What stands for a pair in the filter: its 40 high bits, spread so that it stays in its partition."""
+    return mix(high) // np.uint64(parts) * np.uint64(parts) + np.asarray(part).astype(np.uint64)
 
 
 def _count(parts: int):
@@ -142,18 +158,15 @@ def _count(parts: int):
         trained = ~np.array([held_out(i) for i in t.column("doc_id").to_pylist()], np.bool_)[doc]
         words, n = counted(token, trained)
         two, n2 = counted(pairs(before, token)[trained], np.ones(trained.sum()))
-        rows = [(chunk, p, "word", words[i].tobytes() + n[i].tobytes()) for p, i in enumerate(by_part(words, parts))]
-        # a pair needs no exact identity: 40 bits beside those of its partition
-        rows += [(chunk, p, "pair", (two[i] >> np.uint64(32)).astype(np.uint32).tobytes() + (two[i] >> np.uint64(24)).astype(np.uint8).tobytes() + n2[i].tobytes()) for p, i in enumerate(by_part(two, parts))]
+        rows = [(chunk, p, "word", words[i].tobytes() + n[i].tobytes()) for p, i in by_part(words, parts)]
+        rows += [(chunk, p, "pair", gram_bytes(two[i]) + n2[i].tobytes()) for p, i in by_part(two, parts)]
         return messages(rows)
 
     return run
 
 
-def pair_keys(grams: np.ndarray, parts: int) -> np.ndarray:
-    """What is left of a pair's hash in the filter: its 40 high bits, moved so that the partition stays the same."""
-    high = grams >> np.uint64(24)
-    return mix(high) // np.uint64(parts) * np.uint64(parts) + grams % np.uint64(parts)
+def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
 def _merge(parts: int):
@@ -168,23 +181,49 @@ def _merge(parts: int):
                 counts.append(np.frombuffer(data, np.uint32, n, 8 * n))
             else:
                 n = len(data) // 9
-                top = np.frombuffer(data, np.uint32, n).astype(np.uint64)
-                high.append(top << np.uint64(8) | np.frombuffer(data, np.uint8, n, 4 * n))
+                high.append(high_bits(data, n))
                 many.append(np.frombuffer(data, np.uint32, n, 5 * n))
-        words, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(words))
+        words, inverse = np.unique(joined(hashes, np.uint64), return_inverse=True)
+        total = np.bincount(inverse, weights=joined(counts, np.uint32), minlength=len(words))
         answer, at = total[inverse].astype(np.uint64), 0
         for chunk, n in sources:
             rows.append((chunk, part, "count", answer[at : at + n].tobytes()))
             at += n
-        two, inverse = np.unique(np.concatenate(high), return_inverse=True)
-        total2 = np.bincount(inverse, weights=np.concatenate(many), minlength=len(two))
-        keys = mix(two) // np.uint64(parts) * np.uint64(parts) + np.uint64(part)
+        two, inverse = np.unique(joined(high, np.uint64), return_inverse=True)
+        total2 = np.bincount(inverse, weights=joined(many, np.uint32), minlength=len(two))
         known, often = total > 0, total2 >= MIN_PAIR
-        grams, c = np.concatenate([words[known], keys[often]]), np.concatenate([total[known], total2[often]])
-        rows.append((-1, part, "filter", segment(grams, c, FILTER_BYTES * 8 // parts).tobytes()))
-        stats = np.array([total.sum(), known.sum(), (total == 1).sum(), (total == 2).sum()], np.int64)
-        rows.append((-1, part, "stats", stats.tobytes()))
+        grams = np.concatenate([words[known], pair_keys(two, part, parts)[often]])
+        rows.append((-1, part, "filter", segment(grams, np.concatenate([total[known], total2[often]])).tobytes()))
+        stats = [total.sum(), known.sum(), (total == 1).sum(), (total == 2).sum()]
+        rows.append((-1, part, "stats", ",".join(str(int(x)) for x in stats).encode()))
+        return messages(rows)
+
+    return run
+
+
+def _ask(parts: int):
+    """A chunk's distinct words and pairs, for the partitions that hold their segments."""
+
+    def run(t: pa.Table) -> pa.Table:
+        chunk = t.column("chunk")[0].as_py()
+        token, before, _ = tokens(t.column("text"))
+        words, two = np.unique(token), np.unique(pairs(before, token))
+        rows = [(chunk, p, "word", words[i].tobytes()) for p, i in by_part(words, parts)]
+        return messages(rows + [(chunk, p, "pair", gram_bytes(two[i])) for p, i in by_part(two, parts)])
+
+    return run
+
+
+def _probe(parts: int):
+    def run(asks: pa.Table, segments: pa.Table) -> pa.Table:
+        if not asks.num_rows:
+            return messages([])
+        part, data = asks.column("part")[0].as_py(), segments.column("data").to_pylist()
+        lookup = LogFrequencyFilter([len(x) for x in data] or [8], b"".join(data) or bytes(8))
+        rows = []
+        for chunk, kind, blob in zip(asks.column("chunk").to_pylist(), asks.column("kind").to_pylist(), asks.column("data").to_pylist()):
+            grams = np.frombuffer(blob, np.uint64) if kind == "word" else pair_keys(high_bits(blob, len(blob) // 5), part, parts)
+            rows.append((chunk, part, f"{kind} level", lookup.levels(grams).tobytes()))
         return messages(rows)
 
     return run
@@ -196,29 +235,36 @@ _TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64
 
 def _score(shared, parts: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        sizes, data, (n, v, n1, n2) = shared.value
-        lookup = LogFrequencyFilter(sizes, data)
+        segments, (n, v, n1, n2) = shared.value
         ids = docs.column("doc_id").to_pylist()
         token, before, doc = tokens(docs.column("text"))
         words, place = np.unique(token, return_inverse=True)
+        by = {(k, p): x for k, p, x in zip(answers.column("kind").to_pylist(), answers.column("part").to_pylist(), answers.column("data").to_pylist())}
         exact = np.zeros(len(words))
-        by = dict(zip(answers.column("part").to_pylist(), answers.column("data").to_pylist()))
-        for p, i in enumerate(by_part(words, parts)):
-            exact[i] = np.frombuffer(by[p], np.uint64)
+        for p, i in by_part(words, parts):
+            exact[i] = np.frombuffer(by["count", p], np.uint64)
         total = lambda x: np.bincount(doc, weights=x, minlength=len(ids))
         base = np.log10((exact + 1) / (n + v + 1))
         if n:
+            value = level_counts(64)
+            two, pair = np.unique(pairs(before, token), return_inverse=True)
+            if segments:
+                lookup = LogFrequencyFilter(*segments)
+                word_level = lookup.levels(words)
+                pair_level = lookup.levels(pair_keys(two >> np.uint64(24), (two % np.uint64(parts)).astype(np.int64), parts))
+            else:
+                word_level, pair_level = np.zeros(len(words), np.uint8), np.zeros(len(two), np.uint8)
+                for kind, grams, out in (("word level", words, word_level), ("pair level", two, pair_level)):
+                    for p, i in by_part(grams, parts):
+                        out[i] = np.frombuffer(by[kind, p], np.uint8)
+            approximate = value[word_level]
             discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-            approximate = lookup.counts(words)
             single = np.where(approximate > 0, np.maximum(approximate - discount, 0.1) / n, discount * v / n)
-            history, where = np.unique(before, return_inverse=True)
-            seen = lookup.counts(history)
-            seen[history == START] = approximate[words == END][0]  # as many texts begin as end
-            two, pair = np.unique(pairs(before, token), return_inverse=True)
-            together = lookup.counts(pair_keys(two, parts))[pair]
-            c = seen[where]
+            # what stands before a word is a word of the chunk, or the start: as many texts begin as end
+            at = np.minimum(np.searchsorted(words, before), len(words) - 1)
+            c = np.where(before == START, approximate[words == END][0], approximate[at])
             p = single[place]
-            p = np.where(c > 0, (1 - PAIR_WEIGHT) * p + PAIR_WEIGHT * np.minimum(together / np.maximum(c, 1), 1), p)
+            p = np.where(c > 0, (1 - PAIR_WEIGHT) * p + PAIR_WEIGHT * np.minimum(value[pair_level][pair] / np.maximum(c, 1), 1), p)
             logs = np.log10(np.minimum(p, 1))
         else:
             logs = np.zeros(len(token))
@@ -229,15 +275,24 @@ def _score(shared, parts: int):
     return run
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """The contract's rows: exact add-one unigram score and the model's log10 probability of every text."""
     spark = docs.sparkSession
     d, n = chunked(docs, CHUNK)
-    parts = n
-    merged = cut_lineage(d.groupBy("chunk").applyInArrow(_count(parts), MESSAGE).groupBy("part").applyInArrow(_merge(parts), MESSAGE))
-    own = {(r["part"], r["kind"]): bytes(r["data"]) for r in merged.where("chunk = -1").toLocalIterator()}  # within FILTER_BYTES
-    segments = [own.get((p, "filter"), bytes(8)) for p in range(parts)]
-    stats = sum((np.frombuffer(own[p, "stats"], np.int64) for p in range(parts) if (p, "stats") in own), np.zeros(4, np.int64))
-    shared = spark.sparkContext.broadcast(([len(s) for s in segments], b"".join(segments), tuple(int(x) for x in stats)))
-    answers = merged.where("kind = 'count'").select("chunk", "part", "data")
-    return d.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(shared, parts), RESULT)
+    parts, mine = n, d.groupBy("chunk")
+    merged = cut_lineage(mine.applyInArrow(_count(parts), MESSAGE).groupBy("part").applyInArrow(_merge(parts), MESSAGE))
+    numbers = F.split(F.decode("data", "UTF-8"), ",")
+    row = merged.where("kind = 'stats'").agg(*[F.coalesce(F.sum(numbers[k].cast("bigint")), F.lit(0)).alias(f"s{k}") for k in range(4)]).first()
+    segments = merged.where("kind = 'filter'")
+    size = segments.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("b")).first()["b"]
+    answers = merged.where("kind = 'count'")
+    together = None
+    if size <= filter_bytes:
+        own = {r["part"]: bytes(r["data"]) for r in segments.select("part", "data").toLocalIterator()}
+        own = [own.get(p, bytes(8)) for p in range(parts)]
+        together = ([len(s) for s in own], b"".join(own))
+    else:
+        asks = mine.applyInArrow(_ask(parts), MESSAGE)
+        answers = answers.unionByName(asks.groupBy("part").cogroup(segments.groupBy("part")).applyInArrow(_probe(parts), MESSAGE))
+    shared = spark.sparkContext.broadcast((together, tuple(int(x) for x in row)))
+    return mine.cogroup(answers.groupBy("chunk")).applyInArrow(_score(shared, parts), RESULT)

@@ -121,9 +121,7 @@ def _send_anchors(parts: int):
         distinct, least, most = least_and_most(hashes, whose)
         several = least != most
         rows = []
-        for p, i in enumerate(by_part(distinct, parts)):
-            if not len(i):
-                continue
+        for p, i in by_part(distinct, parts):
             high = distinct[i] >> np.uint64(24)
             data = (high >> np.uint64(8)).astype(np.uint32).tobytes() + (high & np.uint64(255)).astype(np.uint8).tobytes() + np.packbits(several[i]).tobytes()
             rows.append((chunk, p, str(len(i)), data))
@@ -166,9 +164,8 @@ class Strings:
         self.runs = runs = Runs(docs.column("text"))
         distinct, inverse = np.unique(runs.anchor, return_inverse=True)
         alive = np.zeros(len(distinct), np.bool_)
-        for p, i in enumerate(by_part(distinct, parts)):
-            if len(i):
-                alive[i] = np.unpackbits(np.frombuffer(answers[p], np.uint8), count=len(i)).astype(np.bool_)
+        for p, i in by_part(distinct, parts):
+            alive[i] = np.unpackbits(np.frombuffer(answers[p], np.uint8), count=len(i)).astype(np.bool_)
         runs.keep(alive[inverse])
         part = (runs.anchor % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((runs.string, part))

@@ -87,6 +87,9 @@ def test_lm_scoring(docs, empty, monkeypatch):
     tokens = collections.Counter((str(i), len(words[i, t]), sum(counts[w] > 0 for w in words[i, t])) for i, t in pairs(docs))
     assert tokens == collections.Counter((str(r.doc_id), r.n_tokens, r.n_known) for r in got)
     assert all(r.score <= 0 and r.base_score < 0 for r in got) and lm_scoring.score(empty).count() == 0
+    # a filter too large to broadcast is probed where it is, with the same scores
+    assert sorted(map(str, got)) == sorted(map(str, lm_scoring.score(docs, filter_bytes=0).collect()))
+    assert lm_scoring.score(empty, filter_bytes=0).count() == 0
 
 
 def test_line_dedup(docs, empty):
