@@ -14,6 +14,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -43,7 +44,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or list(HEADLINE)
     spark = get_spark(f"local[{cpus}]", app="martline-bench", shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="martline-ckpt-")})
     qs = catalog.queries()
     times: dict[str, float | None] = {}
     errors: dict[str, str] = {}

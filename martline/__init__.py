@@ -5,7 +5,7 @@ Operators are DataFrame -> DataFrame functions; jobs compose them.
 
 from .operators.changes import new_or_changed  # noqa: F401
 from .operators.enrich import child_total, distinct_legs, route_lead_time  # noqa: F401
-from .operators.joins import bounded_broadcast, first_item_join  # noqa: F401
+from .operators.joins import first_item_join  # noqa: F401
 from .operators.quality import (  # noqa: F401
     CheckedTable,
     duplicate_key_groups,

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators.joins import bounded_broadcast
 from ._util import as_col
 
 
@@ -99,33 +98,28 @@ def label_from_table(
     map_label: str,
     out: str,
     default: str | None = None,
-    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add column ``out`` = label of ``df[code]`` from a mapping table.
 
     The mapping is deduplicated on its code (one label per code) and joined
-    with a left join; it is broadcast only when its row count is proven to be
-    at most ``broadcast_rows``, otherwise Spark picks a shuffle join.
+    with a left join; the planner and AQE choose how.
     """
     m = (
         mapping.select(F.col(map_code).alias("__code"), F.col(map_label).alias("__label"))
         .groupBy("__code")
         .agg(F.min("__label").alias("__label"))
     )
-    m = bounded_broadcast(m, broadcast_rows)
     joined = df.join(m, df[code] == m["__code"], "left")
     label = F.col("__label") if default is None else F.coalesce(F.col("__label"), F.col(default))
     return joined.withColumn(out, label).drop("__code", "__label")
 
 
-def leg_code(start, end, suffix: str = "Auto", max_len: int | None = None) -> Column:
+def leg_code(start, end, suffix: str = "Auto") -> Column:
     """Composite text key ``start_end_suffix``; NULL if any part is NULL.
 
-    ``max_len`` truncates like a bounded VARCHAR would. It is off by default:
-    the code is a join key, and two long codes must not match by a prefix.
+    Never shortened: the code is a join key, and two long codes must not match by a prefix.
     """
-    key = F.concat(as_col(start), F.lit("_"), as_col(end), F.lit("_" + suffix))
-    return key if max_len is None else F.substring(key, 1, max_len)
+    return F.concat(as_col(start), F.lit("_"), as_col(end), F.lit("_" + suffix))
 
 
 def to_bigint(c, lenient: bool = False) -> Column:

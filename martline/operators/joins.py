@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, first-item join, star enrichment."""
+"""First-item join."""
 
 from __future__ import annotations
 
@@ -8,17 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()`` (stops early on large
-    inputs). Larger inputs are returned unchanged so the planner falls back
-    to a shuffle join; AQE may still broadcast from runtime statistics.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def first_item_join(
     header: DataFrame,
     items: DataFrame,

@@ -26,11 +26,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import periods
 from ..functions.rules import null_default
+from ..session import cut_lineage
 
 SC = "sales_channel"
 BU = "business_unit"
@@ -77,10 +78,6 @@ METRICS: tuple[Metric, ...] = (
     Metric("only_dest", (DEST,), "leaf", None, "dest"),
 )
 METRIC_BY_NAME = {m.name: m for m in METRICS}
-# Order in which the wide mart applies the metric windows (sort sharing).
-WINDOW_ORDER = ("all_dest", "all_sp", "all_bu", "sp", "bu", "sc", "total",
-                "sc_bu_dest", "sc_dest", "bu_dest", "only_dest", "dest")
-
 MART_KEYS = (SC, BU, SP, "delivery_point", "week", "month", "year")
 MART_COLUMNS = MART_KEYS + tuple(
     f"{m.column}_{p}_variability" for m in METRICS for p in ("week", "month")
@@ -185,59 +182,21 @@ def metric_table(fine: DataFrame, kind: str, metric: Metric) -> DataFrame:
     return agg.select("*", ratio("significance", "all_qty").alias("variability"))
 
 
-def wide_metrics(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> DataFrame:
-    """All 12 variabilities of one period kind at the finest grain (period, dims).
+def wide_metrics(base: DataFrame, cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> DataFrame:
+    """``base`` with all 12 variabilities of one period kind.
 
-    The fine statistics are aggregated (with map-side combine) and then
-    hash-partitioned by the period keys once. Every metric groups by the
-    period plus a subset of the dimensions, so each is a window whose
-    partitioning is already satisfied: sorts, no further shuffles. A period's
-    task holds at most one row per dimension combination of that period. The two roll-ups of the ``all_dest`` leaf sum its
-    significance once per ``all_dest`` group (on the group's first fine row).
+    Every metric is aggregated from the fine statistics at its own grain (map-side combine, so a hot period or
+    dimension is one row per map task) and left-joined on its own keys: no task ever holds a whole period.
+    Coarse tables are small, and the planner or AQE broadcasts them; the others join by shuffle on keys that
+    hold a shipping or delivery point. The fine statistics feed 12 aggregates, so they are written once.
     """
-    period = list(PERIODS[kind])
-    if kind == "week":
-        src, qty = cells, DAY_QTY
-    else:
-        # Synthetic week 0 stays as a cell with a NULL quantity: it adds
-        # nothing to any statistic, but every (month, dims) of a base row
-        # keeps a fine row, so base rows whose own combination has only
-        # week-0 days still receive the coarser month metrics.
-        src = cells.groupBy(*period, SWEEK, *dims).agg(
-            F.sum(F.when(F.col(SWEEK) != 0, F.col(DAY_QTY))).alias(SWEEK_QTY)
-        )
-        qty = SWEEK_QTY
-    # aggregate first (map-side combine, spread by the full key), then hash
-    # the small fine statistics by period so every window below is local
-    fine = leaf_stats(src, period, dims, qty).repartition(*period)
-
-    def w(ds):
-        return Window.partitionBy(*period, *ds)
-
-    nm = F.col("n") * F.col("m")
-    all_dest = METRIC_BY_NAME["all_dest"].dims
-    other = [d for d in dims if d not in all_dest]
-    first_of_group = F.row_number().over(w(all_dest).orderBy(*(other or [F.lit(0)]))) == 1
-    sig3 = F.sum("n").over(w(all_dest)) * F.max("m").over(w(all_dest))
-    x = fine.select("*", F.when(first_of_group, sig3).otherwise(F.lit(0)).alias("__sig3"))
-
-    def value(metric: Metric) -> Column:
-        ds = list(metric.dims)
-        if metric.form == "leaf" and tuple(ds) == tuple(dims):
-            return ratio(nm, "a")
-        if metric.form == "leaf":
-            return ratio(F.sum("n").over(w(ds)) * F.max("m").over(w(ds)), F.sum("a").over(w(ds)))
-        if metric.base == "dest":
-            return ratio(F.sum(nm).over(w(ds)), F.sum("a").over(w(ds)))
-        return ratio(F.sum("__sig3").over(w(ds)), F.sum("a").over(w(ds)))
-
-    # One select per metric, in an order where each window's keys are a
-    # prefix of the previous one's sort (bu,sp,dest > bu,sp > bu and
-    # sc,bu,sp > sc,bu > sc > period): those windows share one sort.
-    for name in WINDOW_ORDER:
-        metric = METRIC_BY_NAME[name]
-        x = x.select("*", value(metric).alias(f"{metric.column}_{kind}_variability"))
-    return x.select(*period, *dims, *[f"{m.column}_{kind}_variability" for m in METRICS])
+    fine = cut_lineage(fine_stats(cells, kind, dims))
+    out = base
+    for metric in METRICS:
+        keys = [*PERIODS[kind], *metric.dims]
+        table = metric_table(fine, kind, metric)
+        out = out.join(table.select(*keys, F.col("variability").alias(f"{metric.column}_{kind}_variability")), keys, "left")
+    return out
 
 
 def variability_mart(day: DataFrame) -> DataFrame:
@@ -247,12 +206,8 @@ def variability_mart(day: DataFrame) -> DataFrame:
     week only, so a week straddling two months gives two base rows with the
     same week values; days in synthetic week 0 count for week metrics and
     base rows but not for month metrics (whose values may then be NULL).
-    Two left joins attach the week and month halves to the base rows.
     """
-    base = base_rows(day)
-    week = wide_metrics(day, "week")
-    month = wide_metrics(day, "month")
-    out = base.join(week, [WEEK_NO, *DIMS], "left").join(month, [YEAR_NO, MONTH_NO, *DIMS], "left")
+    out = wide_metrics(wide_metrics(base_rows(day), day, "week"), day, "month")
     return out.select(
         null_default(SC).alias(SC),
         null_default(BU).alias(BU),

@@ -69,8 +69,7 @@ def code_label_map(spark, d):
     """Supplier -> nation name from the nation table, else the supplier name."""
     s = TD.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = TD.table(spark, d, "nation")
-    out = label_from_table(s, "s_nationkey", n, "n_nationkey", "n_name", "label", default="s_name",
-                           broadcast_rows=100_000)
+    out = label_from_table(s, "s_nationkey", n, "n_nationkey", "n_name", "label", default="s_name")
     return out.select("s_suppkey", "label")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,26 +34,14 @@ def get_spark(master: str | None = None, app: str = "martline", shuffle_partitio
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Read from the session. Only a local-mode session without the setting
-    (tests, the sample driver) gets a fresh folder of its own; a cluster
-    without it is an error, since a machine-local folder would not survive
-    the loss of an executor.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, read from the session; an error if it is unset."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    conf = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not conf:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    d = tempfile.mkdtemp(prefix="martline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

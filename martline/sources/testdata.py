@@ -179,13 +179,14 @@ def transportation_costs(spark, d) -> DataFrame:
 
 
 def currency_rates(spark, d) -> DataFrame:
-    """Daily rates <- orders (every order of a day is a version; no Sundays)."""
+    """Daily rates <- orders (every order of a day is a version; Sunday versions carry no rates)."""
     o = table(spark, d, "orders")
     price = F.col("o_totalprice").cast("decimal(18,2)")
-    return o.where(F.dayofweek("o_orderdate") != 1).select(
+    quoted = F.dayofweek("o_orderdate") != 1
+    return o.select(
         F.col("o_orderdate").cast("date").alias("rate_date"),
-        (price * F.lit(0.001).cast("decimal(3,3)")).cast("decimal(18,6)").alias("rate_usd"),
-        (price * F.lit(0.0011).cast("decimal(4,4)")).cast("decimal(18,6)").alias("rate_eur"),
+        F.when(quoted, (price * F.lit(0.001).cast("decimal(3,3)")).cast("decimal(18,6)")).alias("rate_usd"),
+        F.when(quoted, (price * F.lit(0.0011).cast("decimal(4,4)")).cast("decimal(18,6)")).alias("rate_eur"),
         F.col("o_orderdate").alias("TECH_LOAD_TS"),
     )
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[*]", app="martline-tests", shuffle_partitions=8)
+    s = get_spark("local[*]", app="martline-tests", shuffle_partitions=8,
+                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="martline-ckpt-")})
     yield s
 
 

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 from martline.operators.enrich import child_total, distinct_legs, route_lead_time
-from martline.operators.joins import bounded_broadcast, first_item_join
+from martline.operators.joins import first_item_join
 
 
 def test_first_item_join_keeps_headers_without_item_one(spark):
@@ -31,11 +31,3 @@ def test_child_total_null_when_children_missing(spark):
     deliveries = spark.createDataFrame([("D1", Decimal("1.500")), ("D2", None)], "vbeln string, ntgew decimal(18,3)")
     out = {r.tknum: r.w for r in child_total(items, deliveries, "tknum", "vbeln", "vbeln", "ntgew", "w").collect()}
     assert out == {"S1": Decimal("1.500"), "S2": None}
-
-
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in bounded_broadcast(small, 100).join(spark.range(5), "id")._jdf.queryExecution() \
-        .optimizedPlan().toString().lower()
-    assert bounded_broadcast(big, 100) is big

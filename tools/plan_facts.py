@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -44,7 +45,7 @@ def facts(plan: str) -> list[str]:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     names = sys.argv[2:] or list(DEFAULT)
-    spark = get_spark("local[8]", shuffle_partitions=16)
+    spark = get_spark("local[8]", shuffle_partitions=16, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="martline-ckpt-")})
     qs = catalog.queries()
     lines: list[str] = []
     for name in names:
