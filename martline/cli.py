@@ -29,6 +29,10 @@ from .session import get_spark
 from .sources.testdata import STAGING
 
 
+#: Report rows printed; ``--report`` keeps all of them.
+REPORT_ROWS = 1000
+
+
 class ParquetStaging(Mapping):
     """Staging tables stored as Parquet folders, read on first use."""
 
@@ -62,8 +66,11 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--client-in-join", action="store_true",
                        help="join headers to items and stages on (client, shipment number)")
     k = sub.add_parser("key-check")
-    k.add_argument("tables", nargs="+", help="name=path of each Parquet table to check (names from the key registry)")
-    k.add_argument("--environment", default="prod")
+    k.add_argument("tables", nargs="+", help="tables to check (names from the key registry): name=path, or a name "
+                                             "alone for the table in the environment's root folder")
+    k.add_argument("--environment", default="prod", help="environment whose tables are checked")
+    k.add_argument("--root", action="append", default=[], metavar="ENVIRONMENT=FOLDER",
+                   help="folder with the Parquet tables of an environment (once each)")
     k.add_argument("--report", default=None, help="CSV report folder to append to")
     k.add_argument("--date", default=None)
     f = sub.add_parser("file-check")
@@ -73,8 +80,8 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | None:
-    """Run one job; returns the appended rows or the report."""
+def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | int | None:
+    """Run one job; returns the number of appended rows or the report."""
     args = _parser().parse_args(list(argv))
     spark = spark or get_spark(app=f"martline-{args.job}")
     if args.job == "shipment-mart":
@@ -88,9 +95,13 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | N
                                      args.table)
         return None
     if args.job == "key-check":
-        tables = dict(t.split("=", 1) for t in args.tables)
-        frames = {name: spark.read.parquet(path) for name, path in tables.items()}
-        config = [{name: [K.RULE_DUPLICATE_CHECK]} for name in tables]
+        roots = dict(r.split("=", 1) for r in args.root)
+        frames = {}
+        for name, _, path in (t.partition("=") for t in args.tables):
+            if not path and args.environment not in roots:
+                raise SystemExit(f"no --root for environment {args.environment!r}, needed for table {name!r}")
+            frames[name] = spark.read.parquet(path or f"{roots[args.environment].rstrip('/')}/{name}")
+        config = [{name: [K.RULE_DUPLICATE_CHECK]} for name in frames]
         return jobs.run_key_checks(config, quality.registry_resolver(frames), args.environment, args.report,
                                    args.date)
     return jobs.run_file_checks(spark, args.folder, args.report, args.date)
@@ -98,8 +109,10 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | N
 
 def main() -> None:
     out = run(sys.argv[1:])
-    if out is not None:
-        print(f"{out.count()} rows")
+    if isinstance(out, DataFrame):
+        out.show(REPORT_ROWS, truncate=False)
+    elif out is not None:
+        print(f"{out} rows appended")
 
 
 if __name__ == "__main__":

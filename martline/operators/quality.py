@@ -101,6 +101,21 @@ def registry_resolver(
     return resolve
 
 
+def environment_resolver(
+    environments: Mapping[str, Mapping[str, DataFrame]],
+    environment: str,
+    keys: Iterable[tuple[str, Sequence[str]]] = K.MART_TABLE_KEYS,
+    load_ts: str = K.LOAD_TS,
+) -> Callable[[str], CheckedTable]:
+    """Resolve table names within one environment's tables (``environments``: name -> tables).
+
+    The same rules then run on the tables of whichever environment is chosen; an unknown one raises ``KeyError``.
+    """
+    if environment not in environments:
+        raise KeyError(f"unknown environment {environment!r}")
+    return registry_resolver(environments[environment], keys, load_ts)
+
+
 def key_check_report(
     tables_rules: Iterable[Mapping[str, Sequence[str]]],
     resolve: Callable[[str], CheckedTable],

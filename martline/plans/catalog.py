@@ -1,12 +1,14 @@
 """Query catalogue: one entry per operator family, over the test tables.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole test tables (through ``sources.testdata``). ``plans.oracle`` holds the
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the
+whole test tables (through ``sources.testdata``). It is lazy unless a table
+feeds several consumers (stored first) or the query is a load that is read back. ``plans.oracle`` holds the
 equivalent DuckDB SQL for every entry.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +31,11 @@ from ..operators.changes import new_or_changed
 from ..operators.enrich import distinct_legs
 from ..operators.joins import first_item_join
 from ..operators.versions import current_state, latest_version
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from ..sources import testdata as TD
-from . import actual, shipment_mart, shipment_points, variability_mart
+from ..sources.files import folder_duplicates
+from ..sources.sinks import stamp
+from . import actual, jobs, shipment_mart, shipment_points, variability_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = "2024-06-30"
 ENVIRONMENT = "test"
 EVENTS_SNAPSHOT_CUT = "2024-01-10 00:00:00"
+FIRST_LOAD_CUT = "1999-01-01"
+REPORT_DATES = ("2024-06-29", RUN_DATE)
 PREVIOUS_LOAD_TS = ("2020-01-01 00:00:00", "2020-02-01 00:00:00")
 
 
@@ -248,10 +254,12 @@ def shipment_mart_changes(spark, d):
 
 
 def _day(spark, d):
-    """Day cells, written once to the checkpoint folder: every metric table,
-    the base rows and the month cells read them instead of re-running the
-    staging pipeline per consumer."""
-    return cut_lineage(variability_mart.day_cells(TD.staging(spark, d)))
+    return variability_mart.day_cells(TD.staging(spark, d))
+
+
+def _mart_rows(spark, d):
+    """The wide mart reads its day cells three times, so they are written once."""
+    return variability_mart.mart_rows(cut_lineage(_day(spark, d)))
 
 
 def day_cells(spark, d):
@@ -293,7 +301,7 @@ def _ptm(metric_name: str, kind: str) -> Query:
 
 
 def variability_mart_q(spark, d):
-    return variability_mart.mart_rows(_day(spark, d))
+    return _mart_rows(spark, d)
 
 
 def previous_variability_mart(rows: DataFrame) -> DataFrame:
@@ -312,7 +320,7 @@ def previous_variability_mart(rows: DataFrame) -> DataFrame:
 
 
 def variability_changes(spark, d):
-    rows = cut_lineage(variability_mart.mart_rows(_day(spark, d)))
+    rows = cut_lineage(_mart_rows(spark, d))
     target = previous_variability_mart(rows)
     keys = list(variability_mart.KEYS)
     return new_or_changed(rows, current_state(target, keys), keys, variability_mart.COLUMNS)
@@ -368,27 +376,35 @@ def dq_report(spark, d):
     return quality.key_check_report(DQ_CONFIG, dq_resolver(spark, d), ENVIRONMENT, RUN_DATE)
 
 
-MART_CHECKS = tuple(
-    {name: [K.RULE_DUPLICATE_CHECK]}
-    for name in ("metrics_main", "metrics_variability", "business_unit_ref", "currency_rate_ref",
-                 "delivery_point_ref", "shipment_point_ref")
-)
+MART_CHECKS = tuple({name: [K.RULE_DUPLICATE_CHECK]} for name, _ in K.MART_TABLE_KEYS)
+
+
+def _loaded_twice(df: DataFrame, cond) -> DataFrame:
+    """Rows with ``cond`` occur twice (what the key checks must find)."""
+    return df.withColumn("__copy", F.explode(F.when(cond, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+                         ).drop("__copy")
 
 
 def mart_tables(spark, d) -> dict[str, DataFrame]:
     """The marts as one load would store them (rows stamped with one load
-    time), plus the reference tables as staged."""
-    from ..sources.sinks import stamp
-
+    time, some of them twice), two views on them, and the reference tables as staged."""
     src = TD.staging(spark, d)
     run = PREVIOUS_LOAD_TS[1]
+    # a mart and its view read the same stored rows
+    main = cut_lineage(_loaded_twice(stamp(shipment_mart.enriched(src), run), F.col("tariff_matrix_code") == "02"))
+    var = cut_lineage(_loaded_twice(stamp(_mart_rows(spark, d), run), F.col("sales_channel") == K.CHANNEL_LAST_MILE))
+    points = _loaded_twice(stamp(shipment_points.rows(src["tvst"]), run),
+                           F.col("shipment_point_name") != F.col("shipment_point_dashboard_name"))
     return {
-        "metrics_main": stamp(shipment_mart.enriched(src), run),
-        "metrics_variability": stamp(variability_mart.mart_rows(_day(spark, d)), run),
-        "shipment_point_ref": stamp(shipment_points.rows(src["tvst"]), run),
+        "metrics_main": main,
+        "metrics_variability": var,
         "business_unit_ref": src["business_unit_ref"],
         "currency_rate_ref": src["currency_rate_ref"],
         "delivery_point_ref": src["delivery_point_ref"],
+        "plan_norm": TD.plan_norm(spark, d),
+        "shipment_point_ref": points,
+        "v_metrics_main": main.where(F.col("business_unit").isNotNull()),
+        "v_metrics_variability": var.where(F.col("business_unit") != K.NO_DATA),
     }
 
 
@@ -398,15 +414,62 @@ def mart_key_checks(spark, d):
     return quality.key_check_report(MART_CHECKS, resolve, ENVIRONMENT, RUN_DATE)
 
 
+CHECKED_ENVIRONMENTS = ("prod", "test")
+
+
+def environment_key_checks(spark, d):
+    """The same rules on the tables of two environments (test: error norms and quoted rates only)."""
+    norms, rates = TD.plan_norm(spark, d), TD.staging(spark, d)["currency_rate_ref"]
+    environments = {
+        "prod": {"plan_norm": norms, "currency_rate_ref": rates},
+        "test": {"plan_norm": norms.where(F.col("norm_kind") == "error"),
+                 "currency_rate_ref": rates.where(F.col("rate_usd").isNotNull())},
+    }
+    config = [{"plan_norm": [K.RULE_DUPLICATE_CHECK]}, {"currency_rate_ref": [K.RULE_DUPLICATE_CHECK]}]
+    prod, test = (quality.key_check_report(config, quality.environment_resolver(environments, e), e, RUN_DATE)
+                  for e in CHECKED_ENVIRONMENTS)
+    return prod.unionByName(test)
+
+
+# --- the write path: jobs run into a fresh folder and are read back -------------------
+
+
+def _fresh_folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def incremental_load(spark, d):
+    """E1 twice: first without the later headers and with other creators for matrix 02, then as staged."""
+    src, target = TD.staging(spark, d), _fresh_folder(spark, "incremental-load")
+    creator = F.when(F.col("zzmatrix") == "02", F.lit("EARLY")).otherwise(F.col("ernam"))
+    early = dict(src)
+    early["vttk"] = src["vttk"].where(F.col("erdat") < F.lit(FIRST_LOAD_CUT).cast("date")).withColumn("ernam", creator)
+    jobs.load_shipment_mart(spark, early, target, PREVIOUS_LOAD_TS[0])
+    jobs.load_shipment_mart(spark, src, target, PREVIOUS_LOAD_TS[1])
+    return jobs.read_target(spark, target)
+
+
+def dimension_refresh(spark, d):
+    """E3 twice: with the older shipping point texts, then as staged; the refresh replaces the table."""
+    tvst, target = TD.staging(spark, d)["tvst"], _fresh_folder(spark, "dimension-refresh")
+    older = tvst.where(F.col("tech_load_ts") == F.lit(TD.DIM_LOAD_TS).cast("timestamp_ntz"))
+    jobs.rebuild_shipment_points(older, target, PREVIOUS_LOAD_TS[0])
+    jobs.rebuild_shipment_points(tvst, target, PREVIOUS_LOAD_TS[1])
+    return jobs.read_target(spark, target)
+
+
+def report_append(spark, d):
+    """E4 on two dates, appended to one report."""
+    path = _fresh_folder(spark, "key-report")
+    for date in REPORT_DATES:
+        jobs.run_key_checks(DQ_CONFIG, dq_resolver(spark, d), ENVIRONMENT, path, date)
+    return spark.read.schema(quality.KEY_REPORT_SCHEMA).option("header", True).csv(path)
+
+
 def file_dup_check(spark, d):
     """Write lineitem and orders as CSV datasets into a fresh folder under the
     shared checkpoint folder, then check their first columns."""
-    import uuid
-
-    from ..session import checkpoint_dir
-    from ..sources.files import folder_duplicates
-
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/file-check-{uuid.uuid4().hex}"
+    folder = _fresh_folder(spark, "file-check")
     for name in ("lineitem", "orders"):
         TD.table(spark, d, name).write.option("header", True).csv(f"{folder}/{name}.csv")
     return folder_duplicates(spark, folder, RUN_DATE)
@@ -449,6 +512,10 @@ def queries() -> dict[str, Query]:
             "dup_key_check": dup_key_check,
             "dq_report": dq_report,
             "mart_key_checks": mart_key_checks,
+            "environment_key_checks": environment_key_checks,
+            "incremental_load": incremental_load,
+            "dimension_refresh": dimension_refresh,
+            "report_append": report_append,
             "file_dup_check": file_dup_check,
             "shipment_mart_changes": shipment_mart_changes,
         }

@@ -13,14 +13,13 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..operators import quality
 from ..operators.changes import new_or_changed
 from ..operators.versions import current_state
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_tables
 from ..sources import sinks
 from ..sources.files import folder_duplicates
 from . import shipment_mart, shipment_points, variability_mart
@@ -39,42 +38,44 @@ def read_target(spark: SparkSession, target: str, is_table: bool = False) -> Dat
 
 
 def _incremental(spark, rows: DataFrame, target: str, keys: Sequence[str], columns: Sequence[str], run_ts,
-                 is_table: bool, partition_by=None) -> DataFrame:
-    """Append the new or changed ``rows``; return the rows this run appended.
+                 is_table: bool, partition_by=None) -> int:
+    """Append the new or changed ``rows``; return how many this run appended.
 
-    The run timestamp is fixed before the write (one value per run, unique
-    per run), so the appended rows are found again by it: they are written
-    once, not materialised a second time.
+    The rows are counted by the write itself, so the mart is not read again. A partitioned mart gathers the rows
+    of each partition value first (a hot value is split by AQE), so a run writes few files.
     """
     if run_ts is None:
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     stored = read_target(spark, target, is_table)
     changes = rows if stored is None else new_or_changed(rows, current_state(stored, list(keys)), keys, columns)
+    if partition_by:
+        changes = changes.hint("rebalance", *partition_by)
+    appended = Observation()
+    changes = changes.observe(appended, F.count(F.lit(1)).alias("rows"))
     sinks.append_versioned(changes, target, columns, run_ts, partition_by=partition_by, is_table=is_table)
-    written = read_target(spark, target, is_table)
-    return written.where(F.col(K.LOAD_TS) == F.lit(run_ts).cast("timestamp_ntz")).select(*columns)
+    return appended.get["rows"]
 
 
 def load_shipment_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
-                       is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
-    """E1: append new or changed shipment rows; returns the appended rows."""
+                       is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False) -> int:
+    """E1: append new or changed shipment rows; returns their number."""
     rows = shipment_mart.enriched(src, resolve_dims, client_in_join)
     return _incremental(spark, rows, target, [shipment_mart.KEY], shipment_mart.COLUMNS, run_ts, is_table)
 
 
 def load_variability_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
-                          is_table: bool = False, resolve_dims: bool = True,
-                          client_in_join: bool = False) -> DataFrame:
-    """E2: append new or changed variability rows; returns the appended rows.
+                          is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False) -> int:
+    """E2: append new or changed variability rows; returns their number.
 
     Day cells feed the base rows and both leaf aggregates, so they are
-    written once (checkpoint) and read by all of them. The mart is
-    partitioned by year on disk so readers of a period prune files.
+    written once and read by all of them; the load deletes them at its end.
+    The mart is partitioned by year on disk so readers of a period prune files.
     """
-    day = cut_lineage(variability_mart.day_cells(src, resolve_dims, client_in_join))
-    rows = variability_mart.mart_rows(day)
-    return _incremental(spark, rows, target, variability_mart.KEYS, variability_mart.COLUMNS, run_ts, is_table,
-                        partition_by=["year"])
+    with scratch_tables(spark):
+        day = cut_lineage(variability_mart.day_cells(src, resolve_dims, client_in_join))
+        rows = variability_mart.mart_rows(day)
+        return _incremental(spark, rows, target, variability_mart.KEYS, variability_mart.COLUMNS, run_ts, is_table,
+                            partition_by=["year"])
 
 
 def rebuild_shipment_points(tvst: DataFrame, target: str, run_ts=None, is_table: bool = False) -> None:
@@ -82,19 +83,21 @@ def rebuild_shipment_points(tvst: DataFrame, target: str, run_ts=None, is_table:
     sinks.full_refresh(shipment_points.rows(tvst), target, shipment_points.COLUMNS, run_ts, is_table=is_table)
 
 
-def run_key_checks(tables_rules: Iterable[Mapping[str, Sequence[str]]], resolve, environment: str,
-                   report_path: str | None = None, run_date: str | None = None) -> DataFrame:
-    """E4: duplicate-key checks over many tables; appended to ``report_path`` if given."""
-    report = quality.key_check_report(tables_rules, resolve, environment, run_date)
+def _reported(report: DataFrame, report_path: str | None) -> DataFrame:
+    """Append ``report`` to ``report_path`` if given; the checks run once (the rows are stored, then returned)."""
     if report_path:
+        report = cut_lineage(report)
         sinks.append_report(report, report_path)
     return report
 
 
+def run_key_checks(tables_rules: Iterable[Mapping[str, Sequence[str]]], resolve, environment: str,
+                   report_path: str | None = None, run_date: str | None = None) -> DataFrame:
+    """E4: duplicate-key checks over many tables; appended to ``report_path`` if given."""
+    return _reported(quality.key_check_report(tables_rules, resolve, environment, run_date), report_path)
+
+
 def run_file_checks(spark: SparkSession, folder: str, report_path: str | None = None,
                     run_date: str | None = None) -> DataFrame:
     """E5: duplicate first-column values per dataset in a folder."""
-    report = folder_duplicates(spark, folder, run_date)
-    if report_path:
-        sinks.append_report(report, report_path)
-    return report
+    return _reported(folder_duplicates(spark, folder, run_date), report_path)

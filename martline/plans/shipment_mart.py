@@ -1,6 +1,6 @@
 """Incremental per-shipment logistics mart.
 
-Latest versions of twelve staging tables -> two pre-aggregates (net weight
+Latest versions of the staging tables -> two pre-aggregates (net weight
 per shipment, lead time per route) -> a left-join star around the shipment
 header -> business rules -> new-or-changed filter against the mart's current
 state -> append with a load timestamp.
@@ -19,9 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import business_unit, sales_channel, to_bigint, to_roubles
-from ..operators.changes import new_or_changed
 from ..operators.enrich import child_total, distinct_legs, route_lead_time
-from ..operators.versions import current_state
 from . import actual
 
 KEY = "transportation_number"
@@ -64,6 +62,17 @@ def net_weight(items: DataFrame, deliveries: DataFrame) -> DataFrame:
     return child_total(items, deliveries, "tknum", "vbeln", "vbeln", "ntgew", "net_weight")
 
 
+def goods(items: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """One row per shipment number: the weight of its live items and its items numbered 1 with their deliveries.
+
+    Items meet deliveries once and serve both. Item 1 occurs once per client, so the list it is kept in is as
+    long as the shipment number has clients.
+    """
+    lines = items.join(deliveries.withColumnRenamed("vbeln", "__delivery"), F.col("vbeln") == F.col("__delivery"), "left")
+    first = F.when(F.col("tpnum") == 1, F.struct("mandt", "vbeln", "wadat", "vkorg", "kunnr"))
+    return lines.groupBy("tknum").agg(F.sum("ntgew").alias("net_weight"), F.collect_list(first).alias("first_items"))
+
+
 def lead_times(route_legs: DataFrame, service_legs: DataFrame) -> DataFrame:
     """Planned lead time per route: service-leg times over distinct legs."""
     return route_lead_time(distinct_legs(route_legs), service_legs)
@@ -79,10 +88,8 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
     keyed by (client, shipment number).
     """
     k = _pref(actual.vttk(src["vttk"]), "k_")
-    items = actual.vttp(src["vttp"])
-    deliveries = actual.likp(src["likp"])
-    p = _pref(items.where(F.col("tpnum") == 1).select("mandt", "tknum", "vbeln"), "p_")
-    lk = _pref(deliveries.select("vbeln", "wadat", "vkorg", "kunnr"), "l_")
+    deliveries = actual.likp(src["likp"]).select("vbeln", "wadat", "vkorg", "kunnr", "ntgew")
+    g = _pref(goods(actual.vttp(src["vttp"]).select("mandt", "tknum", "tpnum", "vbeln"), deliveries), "g_")
     o = _pref(actual.otif_delivery(src["otif_delivery"]).drop("TECH_LOAD_TS"), "o_")
     s = _pref(actual.vtts(src["vtts"]).select("mandt", "tknum", "vstel"), "s_")
     d = _pref(
@@ -98,13 +105,12 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
         .select("business_unit_code", "shipping_point_code", "business_unit_name"),
         "b_",
     )
-    t = _pref(net_weight(items, deliveries), "t_")
     f = _pref(actual.lfa1(src["lfa1"]).select("lifnr", "name1"), "f_")
     rlt = _pref(lead_times(actual.tvrab(src["tvrab"]), actual.transport_leg(src["transport_leg"])), "r_")
 
     # Joins sharing a key are adjacent, so when the sides are too large to
     # broadcast the growing left side is shuffled once per key (text
-    # shipment number, BIGINT shipment number, delivery number, ...) and
+    # shipment number, BIGINT shipment number, consignee, ...) and
     # version-resolved right sides keep the partitioning of their own key.
     k = k.withColumn("k_no", to_bigint("k_tknum"))
     ship_no = F.col("k_no")
@@ -112,13 +118,18 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
         cond = F.col("k_tknum") == F.col(f"{other}_tknum")
         return (cond & (F.col("k_mandt") == F.col(f"{other}_mandt"))) if client_in_join else cond
 
+    # a header meets item 1 of every client with its shipment number, or (client_in_join) of its own
+    first_items = F.filter("g_first_items", lambda i: i["mandt"] == F.col("k_mandt")) if client_in_join \
+        else F.col("g_first_items")
     x = (
-        k.join(p, same_shipment("p"), "left")
+        k.join(g, F.col("k_tknum") == F.col("g_tknum"), "left")
+        .withColumn("l", F.explode_outer(first_items))
+        .drop("g_first_items")
+        .withColumns({f"l_{c}": F.col("l")[c] for c in ("wadat", "vkorg", "kunnr")})
+        .drop("l")
         .join(s, same_shipment("s"), "left")
-        .join(t, F.col("k_tknum") == F.col("t_tknum"), "left")
         .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
-        .join(lk, F.col("p_vbeln") == F.col("l_vbeln"), "left")
         .join(c, F.col("l_kunnr") == F.col("c_kunnr"), "left")
         .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
         .join(
@@ -150,7 +161,7 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
         "transportation_creator": F.col("k_ernam"),
         "transportation_creation_date": F.col("k_erdat"),
         "transportation_creation_time": F.col("k_erzet"),
-        "net_weight": F.col("t_net_weight"),
+        "net_weight": F.col("g_net_weight"),
         "expences_fact_rub": rub("FACT_COST", "CURRENCY_FACT"),
         "expences_matrix_plan_rub": rub("PLAN_COST", "CURRENCY_PLAN"),
         "expences_business_plan_rub": rub("BUSINESS_PLAN_COST", "CURRENCY_BUSINESS_PLAN"),
@@ -159,8 +170,3 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
         "lead_time_plan": F.col("r_svt_route_lead_time"),
     }
     return x.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in SCHEMA.fields])
-
-
-def changes(src: Mapping[str, DataFrame], target: DataFrame, resolve_dims: bool = True) -> DataFrame:
-    """Candidate rows that are new or differ from the mart's current state."""
-    return new_or_changed(enriched(src, resolve_dims), current_state(target, [KEY]), [KEY], COLUMNS)

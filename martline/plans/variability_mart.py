@@ -17,8 +17,6 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions.rules import blank_default, business_unit, sales_channel
 from ..operators import variability as V
-from ..operators.changes import new_or_changed
-from ..operators.versions import current_state
 from . import actual
 
 KEYS = ("sales_channel", "business_unit", "shipment_point_code", "delivery_point", "year", "month", "week")
@@ -88,8 +86,3 @@ def mart_rows(day: DataFrame) -> DataFrame:
     """Wide mart rows, cast to ``SCHEMA``."""
     wide = V.variability_mart(day)
     return wide.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMA.fields])
-
-
-def changes(day: DataFrame, target: DataFrame) -> DataFrame:
-    """Mart rows that are new or differ from the mart's current state."""
-    return new_or_changed(mart_rows(day), current_state(target, list(KEYS)), list(KEYS), COLUMNS)

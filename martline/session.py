@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,5 +59,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+#: Folders that ``cut_lineage`` writes inside a ``scratch_tables`` block.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``cut_lineage`` writes inside the block when it ends (also when it fails)."""
+    written: list[str] = []
+    token = _WRITTEN.set(written)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        for path in written:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
