@@ -14,8 +14,8 @@ Scale. A chunk of documents sends each distinct word and pair once, hashed, to t
 frequent words are pre-aggregated and the shuffles grow with the corpus. Each partition builds its own segment of
 the filter, ``BITS`` bits an entry, so the filter grows with the corpus and its error rate stays. Segments of at most
 ``FILTER_BYTES`` together are broadcast. A larger filter stays where it is: chunks send their distinct n-grams to the
-partitions, which probe their segments and return levels; scores are the same. Pairs seen once are counted but not
-stored.
+partitions, which probe their segments and return levels; scores are the same. Every pair of
+the training documents is stored, those seen once at level 1.
 
 Defined cases: NULL and empty texts have one token, the end; NULL ids count as not held out; repeated rows count
 and are scored each; without training tokens every probability is 1; an empty table gives an empty result.
@@ -38,7 +38,7 @@ from martline.session import cut_lineage
 BASE, PROBES, BITS = 1.5, 5, 10
 FILTER_BYTES = 64 << 20
 CHUNK = 4 << 20
-PAIR_WEIGHT, MIN_PAIR = 0.2, 2
+PAIR_WEIGHT = 0.2
 #: Hashes of the end of a text and of what stands before its first word; words never have them but by accident.
 END, START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
@@ -191,9 +191,9 @@ def _merge(parts: int):
             at += n
         two, inverse = np.unique(joined(high, np.uint64), return_inverse=True)
         total2 = np.bincount(inverse, weights=joined(many, np.uint32), minlength=len(two))
-        known, often = total > 0, total2 >= MIN_PAIR
-        grams = np.concatenate([words[known], pair_keys(two, part, parts)[often]])
-        rows.append((-1, part, "filter", segment(grams, np.concatenate([total[known], total2[often]])).tobytes()))
+        known = total > 0
+        grams = np.concatenate([words[known], pair_keys(two, part, parts)])
+        rows.append((-1, part, "filter", segment(grams, np.concatenate([total[known], total2])).tobytes()))
         stats = [total.sum(), known.sum(), (total == 1).sum(), (total == 2).sum()]
         rows.append((-1, part, "stats", ",".join(str(int(x)) for x in stats).encode()))
         return messages(rows)
