@@ -188,10 +188,11 @@ def compare(rows: pd.DataFrame, band: int, threshold: float) -> pd.DataFrame:
 
 
 def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """(doc_id, key, copy_id, n_copies, class_id, n_links) of every row of ``docs`` (doc_id, text).
+    """(doc_id, key, label, copy_id, n_copies, class_id, n_links) of every row of ``docs`` (doc_id, text).
 
-    copy_id: least id with the same text; class_id: least id of the connected group of links; n_links: other
-    rows whose text is similar, copies included.
+    label: the connected group of links, by its least key (NULL for a text without shingles, a group of its own);
+    copy_id: least id with the same text; class_id: least id of the group; n_links: other rows whose text is
+    similar, copies included.
     """
     bands, n_rows = choose_bands(threshold)
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -234,23 +235,34 @@ def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, width: int = S
     linked = links.groupBy("key").agg(F.sum("linked").alias("linked")).join(groups, F.col("key") == F.col("node")).select("key", "linked", "label")
     named = copies.join(linked, "key", "left").select("key", "copy_id", "copies", "linked", F.coalesce("label", "key").alias("label"))
     least = named.groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    named = named.join(least, "label").select("key", "copy_id", "copies", "linked", "class_id")
+    named = named.join(least, "label").select("key", "copy_id", "copies", "linked", "label", "class_id")
 
     out = signed.select("doc_id", "key", F.col("bands").isNull().alias("empty")).join(named, "key")
     own = lambda c: F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col(c))
     n_links = F.when(F.col("empty"), F.lit(0)).otherwise(F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
-    return out.select("doc_id", "key", own("copy_id").alias("copy_id"), F.when(F.col("empty"), F.lit(1)).otherwise(F.col("copies")).alias("n_copies"), own("class_id").alias("class_id"), n_links.cast("bigint").alias("n_links"))
+    return out.select("doc_id", "key", F.when(~F.col("empty"), F.col("label")).alias("label"), own("copy_id").alias("copy_id"), F.when(F.col("empty"), F.lit(1)).otherwise(F.col("copies")).alias("n_copies"), own("class_id").alias("class_id"), n_links.cast("bigint").alias("n_links"))
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """One row per document: its class of exact copies, its group of similar documents and its number of links."""
-    return similar_groups(docs.select("doc_id", "text")).drop("key")
+    return similar_groups(docs.select("doc_id", "text")).drop("key", "label")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay if one document of each group does: the least id (and one row of it)."""
-    g = similar_groups(docs.select("doc_id", "text"))
-    stays = g.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_g_id"), F.col("key").alias("_g_key")).distinct()
-    stays = stays.groupBy("_g_id").agg(F.min("_g_key").alias("_g_key"))
+    """The rows of ``docs`` that stay: of each group the row of the least id, then key, then one of the repeated rows.
+
+    Groups are told apart by their label, so groups that share an id, or have NULL ids only, keep a row each. Every
+    row without shingles stays, being a group of its own.
+    """
+    g = similar_groups(docs.select("doc_id", "text")).select("doc_id", "key", "label")
+    rows = g.where("label is not null").groupBy("label", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    least = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n")).alias("s"))
+    least = least.select(F.col("s.doc_id").alias("_g_id"), F.col("s.key").alias("_g_key"), F.col("s.n").alias("_g_n"))
+    alone = g.where("label is null").select("doc_id", "key", F.lit(1).cast("bigint")).distinct()
+    stays = cut_lineage(least.union(alone))
     same = docs["doc_id"].eqNullSafe(F.col("_g_id")) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_g_key"))
-    return docs.join(stays, same, "left_semi")
+    once, repeated = docs.join(stays.where("_g_n = 1"), same, "left_semi"), stays.where("_g_n > 1")
+    if repeated.isEmpty():
+        return once
+    one = docs.join(repeated, same).dropDuplicates(["_g_id", "_g_key"])
+    return once.unionByName(one.select(*[docs[c] for c in docs.columns]))
