@@ -3,7 +3,8 @@
 Method. A text is cut at line feeds into units. A unit is normalised (lower case, runs of white space become one
 space) and hashed; digests are grouped over all documents. The occurrence with the lowest rank (document id, row
 hash, line number) stays, every other one is removed with its line feed. Offsets of removed units refer to the
-original text. Units under ``min_words`` words are too short to be evidence of copying and stay.
+original text. Units under ``min_words`` words are too short to be evidence of copying and stay. So do copied
+passages inside lines that differ (README gives the measured share).
 
 Scale. A unit travels as a 16-byte digest with its place, never as text. The earliest place per digest is an
 aggregate with map-side combine; only digests seen twice are joined back to their places, so a line that a third
