@@ -85,9 +85,9 @@ def lower_bytes() -> np.ndarray:
     return _tables["lower"]
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = WORD_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text, start, end) of every word in order. Words do not cross texts."""
-    inside = WORD_BYTES[buf]
+    inside = word_bytes[buf]
     edge = offsets[1:-1]
     edge = edge[edge < len(buf)]
     before = np.empty_like(inside)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martline.llm import (
@@ -14,6 +15,7 @@ from martline.llm import (
     line_dedup,
     lm_scoring,
     mixing,
+    packing,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -61,6 +63,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = (
     op1_quality_rules,
     op2_quality_classifier,
@@ -72,6 +78,7 @@ QUERIES = (
     op8_language_id,
     op9_line_dedup,
     op10_mixing,
+    op12_best_fit_packing,
 )
 
 
