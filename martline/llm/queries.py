@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martline.llm import (
+    cross_tokenizer,
     decontaminate,
     jaccard_join,
     language_id,
+    lexical_search,
     licenses,
     line_dedup,
     lm_scoring,
@@ -63,10 +65,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return cross_tokenizer.cross_tokenizer(table(spark, sf_dir, "documents"), *paths)
+
+
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = (
     op1_quality_rules,
     op2_quality_classifier,
@@ -78,7 +89,9 @@ QUERIES = (
     op8_language_id,
     op9_line_dedup,
     op10_mixing,
+    op11_cross_tokenizer,
     op12_best_fit_packing,
+    op13_lexical_search,
 )
 
 
@@ -88,4 +101,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op1_quality_rules": quality_rules.ORACLE, "op3_decontamination": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op1_quality_rules": quality_rules.ORACLE, "op3_decontamination": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE, "op13_lexical_search": lexical_search.ORACLE}
