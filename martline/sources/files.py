@@ -5,10 +5,12 @@ single file (``orders.csv``) or a folder of part files as Spark writes them
 (``orders.csv/part-*.csv``). The dataset id is the entry's full name, so
 ``a.csv`` and ``a.xlsx`` never overwrite each other.
 
-All datasets are read by one CSV scan; only the *first* column of each row
-is used, by position, so datasets with different headers can share the
-scan (column names come from one header; positions are what matter, and
-every file's own header line is skipped).
+All datasets are read together; only the *first* column of each row is used,
+by position, so datasets with different headers can share the scan (column
+names come from one header; positions are what matter, and every file's own
+header is skipped). Files are read by byte ranges: those where every line is a
+record by the line-wise CSV reader, those with quoted values that hold line
+feeds as ``csv_records`` describes. A large file is thus the work of many tasks.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import FILE_REPORT_SCHEMA, file_duplicates
+from .csv_records import file_lines, spanning_files, spanning_first_values
 
 
 class FolderError(ValueError):
@@ -36,8 +39,7 @@ def first_column_rows(spark: SparkSession, folder: str) -> DataFrame | None:
         raw = (
             spark.read.option("header", True)
             .option("inferSchema", False)
-            .option("multiLine", True)  # a quoted value may hold line feeds
-            .option("escape", '"')  # and doubled quotes
+            .option("escape", '"')  # doubled quotes
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.csv")
             .csv(folder)
@@ -52,14 +54,19 @@ def first_column_rows(spark: SparkSession, folder: str) -> DataFrame | None:
         return None
     # the header may hold any characters, so the column is taken by place
     raw = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.col("c0").cast("string").alias("pk"))
+    lines = file_lines(spark, folder)
+    spanning = spanning_files(lines)
+    if spanning:
+        by_line = rows.where(~F.col("file").isin(spanning))
+        rows = by_line.unionByName(spanning_first_values(lines, spanning).withColumnRenamed("value", "pk"))
     # the folder's qualified path is a prefix of every file's path
     location = spark._jvm.org.apache.hadoop.fs.Path(folder)
     location = location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location)
     base = "^[^:/]*:?/*" + re.escape(location.toUri().getPath().strip("/"))
     # file_path is a URI (a space is %20); decode it, keeping a literal '+'
-    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-    source = F.regexp_extract(path, base + "/([^/]+)", 1)
-    rows = raw.select(F.col("c0").cast("string").alias("pk"), source.alias("source")).select("source", "pk")
+    path = F.url_decode(F.regexp_replace("file", r"\+", "%2B"))
+    rows = rows.select(F.regexp_extract(path, base + "/([^/]+)", 1).alias("source"), "pk")
     return rows.where(F.col("source").endswith(".csv"))  # a plain folder below is no dataset
 
 
