@@ -40,12 +40,15 @@ from martline.llm.hashing import mix, text_blocks
 from martline.llm.subwords import SPACE, Known, byte_bpe, cut_parts, ragged
 from martline.session import cut_lineage
 
-BLOCK = 8 << 20
-KNOWN_PARTS = 400_000
+BLOCK = 4 << 20
+KNOWN_PARTS = 300_000
+#: New words aligned at a time.
+LEARNT = 1 << 15
 PART_BYTES = 32 << 20
 #: One number a text, then one array a block; all as binary.
 _PER_TEXT = ("copies", "n_a", "n_b", "n_groups", "n_links")
 _ARRAYS = (*_PER_TEXT, "digest", "groups", "n_parts", "part", "part_links", "link", "pair", "pair_docs")
+_MEASURED = tuple(k for k in _ARRAYS if k not in ("copies", "pair_docs"))
 BLOCKS = "block long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 ENTRY = "block long, part int, data binary"
 MEASURES = "digest binary, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -102,6 +105,10 @@ class Words(Known):
         self.links = np.zeros(0, pair_type(len(self.length_a), len(self.length_b)))
 
     def learn(self, parts: list[bytes]) -> None:
+        for at in range(0, len(parts), LEARNT):
+            self._learn(parts[at : at + LEARNT])
+
+    def _learn(self, parts: list[bytes]) -> None:
         ids_a, n_a = self.a.encode_parts(parts)
         pieces = self.b.encode([p[1:].decode("utf-8", "replace") for p in parts], num_threads=1)
         n_b = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -244,7 +251,7 @@ def _measure(shared, parts: int, kind: type, n_b: int):
     names = [f.split()[0] for f in MEASURES.split(", ")]
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        row = {k: block.column(k)[0].as_py() for k in _ARRAYS}
+        row = {k: block.column(k)[0].as_py() for k in _MEASURED}
         pair = np.frombuffer(row["pair"], kind)
         count = np.zeros(len(pair), np.int64)
         found = dict(zip(answers.column("part").to_pylist(), answers.column("data").to_pylist()))
@@ -279,7 +286,7 @@ def aligned_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         highest[r["a"]] = r["n"]
     shared = spark.sparkContext.broadcast(highest)
     answers = totals.where("block >= 0")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_measure(shared, parts, kind, n_b), MEASURES)
+    return blocks.select("block", *_MEASURED).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_measure(shared, parts, kind, n_b), MEASURES)
 
 
 def cross_tokenizer(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
