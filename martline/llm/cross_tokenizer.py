@@ -34,22 +34,23 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from martline.llm.chunks import by_part
 from martline.llm.hashing import mix, text_blocks
 from martline.llm.subwords import SPACE, Known, byte_bpe, cut_parts, ragged
 from martline.session import cut_lineage
 
-BLOCK = 4 << 20
-KNOWN_PARTS = 300_000
+BLOCK = 2 << 20
+KNOWN_PARTS = 150_000
 #: New words aligned at a time.
 LEARNT = 1 << 15
 PART_BYTES = 32 << 20
-#: One number a text, then one array a block; all as binary.
+#: One number a text, then one array a block; all as compressed binary.
 _PER_TEXT = ("copies", "n_a", "n_b", "n_groups", "n_links")
 _ARRAYS = (*_PER_TEXT, "digest", "groups", "n_parts", "part", "part_links", "link", "pair", "pair_docs")
 _MEASURED = tuple(k for k in _ARRAYS if k not in ("copies", "pair_docs"))
-BLOCKS = "block long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
+BLOCKS = "block long, n_pairs long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 ENTRY = "block long, part int, data binary"
 MEASURES = "digest binary, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -63,8 +64,8 @@ class PieceBpe:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.encode = SentencePieceProcessor(model_file=path).encode
         model = SentencePieceProcessor(model_file=path)
+        self.encode = model.encode
         names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.alone = not any(re.search("[^▁]▁", n) for n in names)
         byte = re.compile("<0x([0-9A-F]{2})>").fullmatch
@@ -156,8 +157,8 @@ def known_words(path_a: str, path_b: str) -> Words:
     return _words[key]
 
 
-def align(words: Words, buf: np.ndarray, offsets: np.ndarray, copies: np.ndarray) -> dict[str, bytes]:
-    """One block's arrays: measures of its texts, their words, the words' links and the distinct pairs."""
+def align(words: Words, buf: np.ndarray, offsets: np.ndarray, copies: np.ndarray) -> tuple[int, dict[str, bytes]]:
+    """How many distinct pairs a block has, and its arrays: measures of its texts, their words, the words' links, the pairs."""
     n = len(offsets) - 1
     spaced, at = np.insert(buf, offsets[:-1], SPACE), offsets + np.arange(n + 1)
     start, end, text = cut_parts(spaced, at, runs_whole=True)
@@ -183,11 +184,17 @@ def align(words: Words, buf: np.ndarray, offsets: np.ndarray, copies: np.ndarray
     docs = sums(copies[held[order] // max(1, len(pair))], np.bincount(held % max(1, len(pair)), minlength=len(pair)))
     arrays = {name: np.where(good, row, 0) for name, row in zip(COUNTS, numbers)}
     arrays |= {"copies": copies, "n_parts": n_parts, "part": part.astype(np.int32), "part_links": part_links.astype(np.int32), "link": link.astype(np.int32), "pair": pair, "pair_docs": docs}
-    return {k: x.astype(np.int64).tobytes() if k in _PER_TEXT else x.tobytes() for k, x in arrays.items()} | {"digest": digest, "groups": b"".join(shas)}
+    arrays = {k: x.astype(np.int64).tobytes() if k in _PER_TEXT else x.tobytes() for k, x in arrays.items()}
+    squeeze = ZstdCompressor(level=1).compress
+    return len(pair), {k: squeeze(x) for k, x in arrays.items()} | {"digest": digest, "groups": b"".join(shas)}
+
+
+def array(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(ZstdDecompressor().decompress(data), kind)
 
 
 def _align(path_a: str, path_b: str):
-    names = ["block", *_ARRAYS]
+    names = ["block", "n_pairs", *_ARRAYS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not piece_bpe(path_b).alone:
@@ -196,8 +203,8 @@ def _align(path_a: str, path_b: str):
         for b in batches:
             copies = b.column(1).to_numpy()
             for at, buf, offsets in text_blocks(b.column(0), BLOCK):
-                out = align(known_words(path_a, path_b), buf, offsets, copies[at : at + len(offsets) - 1])
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([out[k]], pa.binary()) for k in _ARRAYS)], names)
+                n_pairs, out = align(known_words(path_a, path_b), buf, offsets, copies[at : at + len(offsets) - 1])
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([n_pairs], pa.int64()), *(pa.array([out[k]], pa.binary()) for k in _ARRAYS)], names)
                 block += 1
 
     return run
@@ -212,7 +219,7 @@ def _send(parts: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, pair, docs in zip(*(c.to_pylist() for c in b.columns)):
-                pair, docs = np.frombuffer(pair, kind), np.frombuffer(docs, np.int64)
+                pair, docs = array(pair, kind), array(docs, np.int64)
                 rows = [(block, p, pair[i].tobytes() + docs[i].tobytes()) for p, i in by_part(mix(pair.astype(np.uint64)), parts)]
                 yield from entries(rows).to_batches()
 
@@ -252,16 +259,16 @@ def _measure(shared, parts: int, kind: type, n_b: int):
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         row = {k: block.column(k)[0].as_py() for k in _MEASURED}
-        pair = np.frombuffer(row["pair"], kind)
+        pair = array(row["pair"], kind)
         count = np.zeros(len(pair), np.int64)
         found = dict(zip(answers.column("part").to_pylist(), answers.column("data").to_pylist()))
         for p, i in by_part(mix(pair.astype(np.uint64)), parts):
             count[i] = np.frombuffer(found[p], np.int64)
         best = count == shared.value[pair.astype(np.int64) // n_b]
-        link, per_part = np.frombuffer(row["link"], np.int32), np.frombuffer(row["part_links"], np.int32).astype(np.int64)
-        part, n_parts = np.frombuffer(row["part"], np.int32), np.frombuffer(row["n_parts"], np.int64)
+        link, per_part = array(row["link"], np.int32), array(row["part_links"], np.int32).astype(np.int64)
+        part, n_parts = array(row["part"], np.int32), array(row["n_parts"], np.int64)
         of_text = [sums(sums(x[link], per_part)[part], n_parts) for x in (best, count)]
-        counts = [np.frombuffer(row[k], np.int64) for k in COUNTS[:4]]
+        counts = [array(row[k], np.int64) for k in COUNTS[:4]]
         cut = lambda data: [data[i : i + 32] for i in range(0, len(data), 32)]
         shas = [g.hex() if n else "" for g, n in zip(cut(row["groups"]), counts[0].tolist())]
         columns = [pa.array(cut(row["digest"]), pa.binary()), *(pa.array(c, pa.int64()) for c in counts + of_text), pa.array(shas, pa.string())]
@@ -276,8 +283,8 @@ def aligned_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
     blocks = cut_lineage(texts.mapInArrow(_align(path_a, path_b), BLOCKS))
     n_a, n_b = len(byte_bpe(path_a).token_bytes), len(piece_bpe(path_b).token_bytes)
     kind = pair_type(n_a, n_b)
-    size = blocks.agg(F.coalesce(F.sum(F.octet_length("pair") + F.octet_length("pair_docs")), F.lit(0)).alias("b")).first()["b"]
-    parts = max(1, -(-size // PART_BYTES))
+    entries = blocks.agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n")).first()["n"]
+    parts = max(1, -(-entries * (np.dtype(kind).itemsize + 8) // PART_BYTES))
     sent = blocks.select("block", "pair", "pair_docs").mapInArrow(_send(parts, kind), ENTRY)
     totals = cut_lineage(sent.groupBy("part").applyInArrow(_total(kind, n_b), ENTRY))
     top = totals.where("block = -1").select("data").mapInArrow(_highest, "a long, n long").groupBy("a").agg(F.max("n").alias("n"))
