@@ -23,3 +23,4 @@ from .plans.jobs import (  # noqa: F401
     run_key_checks,
 )
 from .session import checkpoint_dir, cut_lineage, get_spark  # noqa: F401
+from .sources.sinks import read_current  # noqa: F401

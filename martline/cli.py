@@ -26,6 +26,7 @@ from . import constants as K
 from .operators import quality
 from .plans import jobs
 from .session import get_spark
+from .sources.sinks import read_current
 from .sources.testdata import STAGING
 
 
@@ -44,7 +45,7 @@ class ParquetStaging(Mapping):
         if name not in STAGING:
             raise KeyError(name)
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.root}/{name}")
+            self._read[name] = read_current(self.spark, f"{self.root}/{name}")
         return self._read[name]
 
     def __iter__(self):
@@ -100,7 +101,7 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | i
         for name, _, path in (t.partition("=") for t in args.tables):
             if not path and args.environment not in roots:
                 raise SystemExit(f"no --root for environment {args.environment!r}, needed for table {name!r}")
-            frames[name] = spark.read.parquet(path or f"{roots[args.environment].rstrip('/')}/{name}")
+            frames[name] = read_current(spark, path or f"{roots[args.environment].rstrip('/')}/{name}")
         config = [{name: [K.RULE_DUPLICATE_CHECK]} for name in frames]
         return jobs.run_key_checks(config, quality.registry_resolver(frames), args.environment, args.report,
                                    args.date)

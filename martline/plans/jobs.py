@@ -3,13 +3,17 @@
 Targets are paths (Parquet) or catalog tables (``is_table=True``). Each
 incremental load reads the target's current state and appends only new or
 changed rows with one load timestamp per run. A run that fails leaves the
-target unchanged (commit protocol), and running a load twice in a row
-appends nothing the second time.
+target unchanged, and running a load twice in a row
+appends nothing the second time (but for rows with a NULL key, which match no
+stored row, as in the source). Loads into a path commit through a ledger: of two
+runs at once the second compares again with what the first appended, and a
+repeated run id appends nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -22,6 +26,7 @@ from ..operators.versions import current_state
 from ..session import cut_lineage, scratch_tables
 from ..sources import sinks
 from ..sources.files import folder_duplicates
+from ..sources.store import Commit, Ledger
 from . import shipment_mart, shipment_points, variability_mart
 
 
@@ -30,41 +35,73 @@ def read_target(spark: SparkSession, target: str, is_table: bool = False) -> Dat
     if is_table:
         return spark.table(target) if spark.catalog.tableExists(target) else None
     try:
-        return spark.read.parquet(target)
+        return sinks.read_current(spark, target)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
 
 
-def _incremental(spark, rows: DataFrame, target: str, keys: Sequence[str], columns: Sequence[str], run_ts,
-                 is_table: bool, partition_by=None) -> int:
-    """Append the new or changed ``rows``; return how many this run appended.
+def _changes(rows: DataFrame, stored: DataFrame | None, keys: Sequence[str], columns: Sequence[str], partition_by):
+    """The new or changed ``rows``, and an observation of their number.
 
     The rows are counted by the write itself, so the mart is not read again. A partitioned mart gathers the rows
     of each partition value first (a hot value is split by AQE), so a run writes few files.
     """
-    if run_ts is None:
-        run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    stored = read_target(spark, target, is_table)
     changes = rows if stored is None else new_or_changed(rows, current_state(stored, list(keys)), keys, columns)
     if partition_by:
         changes = changes.hint("rebalance", *partition_by)
-    appended = Observation()
-    changes = changes.observe(appended, F.count(F.lit(1)).alias("rows"))
-    sinks.append_versioned(changes, target, columns, run_ts, partition_by=partition_by, is_table=is_table)
-    return appended.get["rows"]
+    counted = Observation()
+    return changes.observe(counted, F.count(F.lit(1)).alias("rows")), counted
+
+
+def _incremental(spark, rows: DataFrame, target: str, keys: Sequence[str], columns: Sequence[str], run_ts,
+                 is_table: bool, partition_by=None, run_id: str | None = None) -> int:
+    """Append the new or changed ``rows``; return how many this run appended.
+
+    A path's run compares with the target at one version, writes its changes aside and claims the next version. If
+    another run has claimed that meanwhile, it compares again. A run whose id is in the ledger appends nothing; its
+    rows are there, or are brought there now if it was killed before. (A table's appends are atomic but unguarded.)
+    """
+    def now():
+        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+    if is_table:
+        changes, counted = _changes(rows, read_target(spark, target, True), keys, columns, partition_by)
+        sinks.append_versioned(changes, target, columns, run_ts or now(), partition_by=partition_by, is_table=True)
+        return counted.get["rows"]
+    run_id = run_id or uuid.uuid4().hex
+    ledger = Ledger(spark, target)
+    while True:
+        known = ledger.settle()
+        if run_id in {c.run_id for c in known}:
+            return 0
+        version = known[-1].version if known else 0
+        stored = read_target(spark, target)
+        changes, counted = _changes(rows, stored, keys, columns, partition_by)
+        ledger.drop(run_id)
+        sinks.append_versioned(changes, ledger.staged(run_id), columns, run_ts or now(), partition_by=partition_by)
+        n = counted.get["rows"]
+        if not n and stored is not None:
+            ledger.drop(run_id)
+            return 0
+        commit = Commit(version + 1, run_id, n)
+        if ledger.claim(commit):
+            ledger.publish(commit)
+            return n
 
 
 def load_shipment_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
-                       is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False) -> int:
+                       is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False,
+                       run_id: str | None = None) -> int:
     """E1: append new or changed shipment rows; returns their number."""
     rows = shipment_mart.enriched(src, resolve_dims, client_in_join)
-    return _incremental(spark, rows, target, [shipment_mart.KEY], shipment_mart.COLUMNS, run_ts, is_table)
+    return _incremental(spark, rows, target, [shipment_mart.KEY], shipment_mart.COLUMNS, run_ts, is_table, run_id=run_id)
 
 
 def load_variability_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
-                          is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False) -> int:
+                          is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False,
+                          run_id: str | None = None) -> int:
     """E2: append new or changed variability rows; returns their number.
 
     Day cells feed the base rows and both leaf aggregates, so they are
@@ -75,11 +112,11 @@ def load_variability_mart(spark: SparkSession, src: Mapping[str, DataFrame], tar
         day = cut_lineage(variability_mart.day_cells(src, resolve_dims, client_in_join))
         rows = variability_mart.mart_rows(day)
         return _incremental(spark, rows, target, variability_mart.KEYS, variability_mart.COLUMNS, run_ts, is_table,
-                            partition_by=["year"])
+                            partition_by=["year"], run_id=run_id)
 
 
 def rebuild_shipment_points(tvst: DataFrame, target: str, run_ts=None, is_table: bool = False) -> None:
-    """E3: replace the shipping-point dimension in one commit."""
+    """E3: replace the shipping-point dimension as a whole; read a path by ``read_target``."""
     sinks.full_refresh(shipment_points.rows(tvst), target, shipment_points.COLUMNS, run_ts, is_table=is_table)
 
 

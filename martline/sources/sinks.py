@@ -1,10 +1,10 @@
 """Writers: versioned append, full refresh, report append.
 
 Appends go through Spark's file commit protocol: a failed or retried task
-leaves no partial output, and a job that dies before its commit leaves the
-target as it was, so a rerun of an incremental load computes the same
-new-or-changed rows again. A full refresh writes the new rows to a folder of
-their own and publishes them only when they are complete.
+leaves no partial output. Loads append through a ledger (``store.Ledger``), so
+two runs at once, a killed run or a repeated one never append a row twice. A full refresh writes
+the new rows to a folder of their own and makes it current when it is complete
+(``store.Versions``); ``read_current`` reads what is current.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LOAD_TS
+from .store import Folder, Versions
 
 
 def stamp(df: DataFrame, run_ts: dt.datetime | str | Column | None = None, col: str = LOAD_TS) -> DataFrame:
@@ -59,41 +60,46 @@ def append_versioned(
         w.save(target)
 
 
+PREVIOUS = "martline.previous_location"
+
+
+def read_current(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of a refreshed path (or of a plain folder): its current version, whole."""
+    return spark.read.format(fmt).load(Versions(spark, target).current() or target)
+
+
 def full_refresh(
-    df: DataFrame, target: str, columns: Sequence[str], run_ts=None, fmt: str = "parquet", is_table: bool = False
+    df: DataFrame, target: str, columns: Sequence[str], run_ts=None, fmt: str = "parquet", is_table: bool = False,
+    grace_seconds: float = 3600,
 ) -> None:
-    """Replace ``target`` with ``df``; a run that fails while it computes or writes leaves the old rows.
+    """Replace ``target`` with ``df``; a run that fails or is killed leaves the old rows or the new ones, never less.
 
-    The new rows go to a fresh folder beside the target. A catalog table is then pointed at that folder; for a
-    path, the old folder is renamed away, the new one takes its name, and the old one is deleted (if the second
-    rename fails, the first is undone).
+    The new rows go to a fresh folder. For a path, one marker file then makes it current and readers resolve it by
+    ``read_current``; a catalog table is pointed at it. The version before stays for one run at least, and a path's old
+    versions for ``grace_seconds``, for readers that have begun.
     """
     out = stamp(df.select(*columns), run_ts)
     spark = df.sparkSession
-    if is_table and not spark.catalog.tableExists(target):
-        _writer(out, "errorifexists", fmt, None).saveAsTable(target)
+    if not is_table:
+        versions = Versions(spark, target)
+        name = versions.fresh()
+        out.write.format(fmt).save(versions.place(name))
+        versions.publish(name)
+        versions.clean(grace_seconds=grace_seconds)
         return
-    if is_table:
-        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
-        fresh = f"{detail['Location'].rstrip('/')}-{uuid.uuid4().hex}"
-        out.write.format(fmt).save(fresh)
-        spark.sql(f"ALTER TABLE {target} SET LOCATION '{fresh}'")
-        spark.catalog.refreshTable(target)
+    if not spark.catalog.tableExists(target):
+        _writer(out, "errorifexists", fmt, None).saveAsTable(target)
         return
-    fresh, old = (f"{target.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+    old = detail["Location"].rstrip("/")
+    older = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect() if r["key"] == PREVIOUS]
+    fresh = f"{old.split('.version-')[0]}.version-{uuid.uuid4().hex}"
     out.write.format(fmt).save(fresh)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    had = fs.exists(path(target))
-    if had and not fs.rename(path(target), path(old)):
-        raise OSError(f"cannot move {target} away; the new rows are in {fresh}")
-    if not fs.rename(path(fresh), path(target)):
-        if had:
-            fs.rename(path(old), path(target))
-        raise OSError(f"cannot publish {fresh} as {target}")
-    if had:
-        fs.delete(path(old), True)
-    spark.catalog.refreshByPath(target)
+    spark.sql(f"ALTER TABLE {target} SET LOCATION '{fresh}'")
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{PREVIOUS}' = '{old}')")
+    spark.catalog.refreshTable(target)
+    for path in older:
+        Folder(spark, path).delete("")
 
 
 def append_report(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("local[*]", app="martline-tests", shuffle_partitions=8,
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="martline-ckpt-")})
+                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="martline-ckpt-"),
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="martline-warehouse-")})
     yield s
 
 

@@ -54,7 +54,7 @@ def test_dimension_rebuild_replaces(spark, tmp_dir):
     tvst = TD.tvst(spark, SF)
     jobs.rebuild_shipment_points(tvst, target)
     jobs.rebuild_shipment_points(tvst, target)
-    assert spark.read.parquet(target).count() == tvst.select("vstel").distinct().count()
+    assert jobs.read_target(spark, target).count() == tvst.select("vstel").distinct().count()
 
 
 def test_reports_append(spark, tmp_dir):

@@ -15,9 +15,9 @@ def test_failed_refresh_keeps_path(spark, tmp_dir):
     sinks.full_refresh(spark.range(5).withColumn("v", F.lit("a")), target, ["id", "v"], "2024-01-01")
     with pytest.raises(Exception, match="boom"):
         sinks.full_refresh(_failing(spark), target, ["id", "v"], "2024-01-02")
-    assert spark.read.parquet(target).count() == 5
+    assert sinks.read_current(spark, target).count() == 5
     sinks.full_refresh(spark.range(3).withColumn("v", F.lit("b")), target, ["id", "v"], "2024-01-03")
-    assert {r.v for r in spark.read.parquet(target).collect()} == {"b"}
+    assert {r.v for r in sinks.read_current(spark, target).collect()} == {"b"}
 
 
 def test_failed_refresh_keeps_table(spark):
