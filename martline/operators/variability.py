@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
@@ -47,6 +47,7 @@ WEEK_NO, MONTH_NO, YEAR_NO, SWEEK = "week_no", "month_no", "year_no", "week_sint
 WEEK = (WEEK_NO,)
 MONTH = (YEAR_NO, MONTH_NO)
 PERIODS = {"week": WEEK, "month": MONTH}
+PERIOD = "period"
 
 RATIO_TYPE = "decimal(18,6)"
 
@@ -182,20 +183,91 @@ def metric_table(fine: DataFrame, kind: str, metric: Metric) -> DataFrame:
     return agg.select("*", ratio("significance", "all_qty").alias("variability"))
 
 
-def wide_metrics(base: DataFrame, cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> DataFrame:
-    """``base`` with all 12 variabilities of one period kind.
+def period_stats(cells: DataFrame, kind: str, dims: Sequence[str] = DIMS) -> DataFrame:
+    """``fine_stats`` with a row for every (period, dims) that has day cells.
 
-    Every metric is aggregated from the fine statistics at its own grain (map-side combine, so a hot period or
-    dimension is one row per map task) and left-joined on its own keys: no task ever holds a whole period.
-    Coarse tables are small, and the planner or AQE broadcasts them; the others join by shuffle on keys that
-    hold a shipping or delivery point. The fine statistics feed 12 aggregates, so they are written once.
+    They differ for months: combinations with days in synthetic week 0 only have ``n = a = 0`` and no ``m`` here, so
+    their month's coarser metrics can be looked up by the same row.
     """
-    fine = cut_lineage(fine_stats(cells, kind, dims))
+    if kind == "week":
+        return fine_stats(cells, kind, dims)
+    weeks = cells.groupBy(*MONTH, SWEEK, *dims).agg(F.sum(DAY_QTY).alias(SWEEK_QTY))
+    counted = weeks.select(*MONTH, *dims, F.when(F.col(SWEEK) != 0, F.col(SWEEK_QTY)).alias(SWEEK_QTY))
+    return leaf_stats(counted, MONTH, dims, SWEEK_QTY).withColumn("a", F.coalesce("a", F.lit(0)))
+
+
+def period_name(kind: str) -> Column:
+    """One text for each period of either kind, from the period's columns."""
+    return F.concat(F.lit(f"{kind} "), F.concat_ws("-", *[F.col(c).cast("string") for c in PERIODS[kind]]))
+
+
+def metric_lattice(cells: DataFrame) -> DataFrame:
+    """(period, dims) of both kinds that have day cells, with the variabilities of all 12 families.
+
+    The families form a lattice over the fine ``(n, m, a)`` rows, which are built once for each kind and then share a plan:
+
+    * every leaf family holds the delivery point, so one exchange by (period, delivery point) serves all of them as
+      windows that merge ``(sum, max, sum)``;
+    * one aggregate to shipping points sums ``a`` and ``n * m`` for the weighted families, and for the families over
+      all channels the merged leaf of each (unit, point, delivery point), counted at one of its rows;
+    * the coarser levels (unit, channel, total; all points, all units) are sums of these rows, taken as windows over
+      shipping-point rows after one exchange by period. A period's rows there are its combinations of channel, unit
+      and shipping point, whatever the number of shipments or delivery points.
+
+    One join then brings the weighted families back to the fine rows. Both its sides start from the exchange by
+    delivery point, which Spark runs once and reuses.
+    """
+
+    def over(*dims: str) -> Window:
+        return Window.partitionBy(PERIOD, *dims)
+
+    fine = [period_stats(cells, kind).select(period_name(kind).alias(PERIOD), *DIMS, "n", "m", "a") for kind in PERIODS]
+    leaf = fine[0].unionByName(fine[1]).repartition(PERIOD, DEST)
+    # two selects: windows whose keys are prefixes of one order share its sort
+    for families in ((("all_dest", (DEST, BU, SP)), ("bu_dest", (DEST, BU)), ("only_dest", (DEST,))),
+                     (("sc_bu_dest", (DEST, SC, BU)), ("sc_dest", (DEST, SC)))):
+        merged = []
+        for metric, dims in families:
+            s = F.coalesce(F.sum("n").over(over(*dims)) * F.max("m").over(over(*dims)), F.lit(0))
+            merged += [s.alias(f"{metric}_s"), F.sum("a").over(over(*dims)).alias(f"{metric}_a")]
+            if metric == "all_dest":
+                # (period, dims) are unique, so one row of each group holds its least channel
+                merged.append(F.col(SC).eqNullSafe(F.min(SC).over(over(*dims))).alias("at_one"))
+        leaf = leaf.select("*", *merged)
+    leaf = leaf.withColumn("dest_s", F.coalesce(F.col("n") * F.col("m"), F.lit(0))).withColumnRenamed("a", "dest_a")
+
+    sums = [F.sum(f"dest_{x}").alias(f"sp_{x}") for x in "as"]
+    sums += [F.sum(F.when(F.col("at_one"), F.col(f"all_dest_{x}"))).alias(f"once_{x}") for x in "as"]
+    points = leaf.groupBy(PERIOD, SC, BU, SP).agg(*sums).repartition(PERIOD)
+    levels = (("all_sp", (BU, SP), "once"), ("all_bu", (BU,), "once"), ("bu", (SC, BU), "sp"), ("sc", (SC,), "sp"), ("total", (), "sp"))
+    points = points.select("*", *[F.sum(f"{of}_{x}").over(over(*dims)).alias(f"{metric}_{x}") for metric, dims, of in levels for x in "as"])
+    wide = _same_keys(leaf, points.drop("once_a", "once_s"), [PERIOD, SC, BU, SP])
+    # a NULL dimension belongs to no group that has it as a key
+    value = [F.when(_present(m.dims), ratio(f"{m.name}_s", f"{m.name}_a")).alias(m.name) for m in METRICS]
+    return wide.select(PERIOD, *DIMS, *value)
+
+
+def _present(dims: Sequence[str]) -> Column:
+    return F.expr(" and ".join(f"{d} is not null" for d in dims) or "true")
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on null-safe equal ``keys``, kept once."""
+    other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    return left.join(other, F.expr(" and ".join(f"{k} <=> __{k}" for k in keys)), "left").drop(*[f"__{k}" for k in keys])
+
+
+def wide_metrics(base: DataFrame, cells: DataFrame, kinds: Sequence[str] = tuple(PERIODS)) -> DataFrame:
+    """``base`` (base rows of ``cells``) with the 12 variabilities of each period kind in ``kinds``.
+
+    The lattice is read once a kind, so it is stored once.
+    """
+    lattice = cut_lineage(metric_lattice(cells))
     out = base
-    for metric in METRICS:
-        keys = [*PERIODS[kind], *metric.dims]
-        table = metric_table(fine, kind, metric)
-        out = out.join(table.select(*keys, F.col("variability").alias(f"{metric.column}_{kind}_variability")), keys, "left")
+    for kind in kinds:
+        named = lattice.where(F.col(PERIOD).startswith(f"{kind} ")).withColumnsRenamed(
+            {m.name: f"{m.column}_{kind}_variability" for m in METRICS})
+        out = _same_keys(out.withColumn(PERIOD, period_name(kind)), named, [PERIOD, *DIMS]).drop(PERIOD)
     return out
 
 
@@ -207,7 +279,7 @@ def variability_mart(day: DataFrame) -> DataFrame:
     same week values; days in synthetic week 0 count for week metrics and
     base rows but not for month metrics (whose values may then be NULL).
     """
-    out = wide_metrics(wide_metrics(base_rows(day), day, "week"), day, "month")
+    out = wide_metrics(base_rows(day), day)
     return out.select(
         null_default(SC).alias(SC),
         null_default(BU).alias(BU),
