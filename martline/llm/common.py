@@ -41,3 +41,12 @@ def sized_broadcast(df: DataFrame, string_cols: tuple[str, ...] = (), row_bytes:
     for c in string_cols:
         n = n + F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
     return F.broadcast(df) if df.agg(n.alias("b")).first()["b"] <= BROADCAST_BYTES else df
+
+
+def unclashed(docs: DataFrame, operator, *added: str) -> DataFrame:
+    """``operator(docs)`` with its other columns than doc_id and text under names that cannot clash with the operator's
+    own, then the columns of ``docs`` and those ``added``."""
+    private = {c: f"__column_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    out = operator(docs.withColumnsRenamed(private))
+    mine = [F.col(private.get(c, c)).alias(c) for c in docs.columns if c not in added]
+    return out.select(*mine, *added)

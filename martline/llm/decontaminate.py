@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martline.llm.common import let, sized_broadcast, words
+from martline.llm.common import let, sized_broadcast, unclashed, words
 from martline.session import cut_lineage
 
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -85,15 +85,45 @@ def phrase_candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
     return c.join(sized_broadcast(windows, ("item",), 512), "window_id").select(*KEY, "start", "item", "words")
 
 
-def phrase_matches(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` (their columns) with n_words, n_hit (words inside a match) and items (sorted ids with a match)."""
+def found_places(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(_doc_id, _text_hash, _found): each document's places where a window may stand."""
     windows = cut_lineage(test_windows(bench, width))
     vocabulary = vocabulary_of(windows)
     index = posting_index(docs.select("doc_id", "text"), sized_broadcast(vocabulary, ("term",)))
     found = phrase_candidates(index, windows).groupBy(*[F.col(k).alias(f"_{k}") for k in KEY])
-    found = found.agg(F.collect_set(F.struct("start", "item", "words")).alias("_found"))
+    return found.agg(F.collect_set(F.struct("start", "item", "words")).alias("_found"))
+
+
+def at_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     same = (F.col("_key_hash") == F.col("_text_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    d = docs.withColumn("_key_hash", F.xxhash64("text")).join(found, same, "left").withColumn("_w", terms(F.col("text")))
+    return docs.withColumn("_key_hash", F.xxhash64("text")).join(found, same, how)
+
+
+def phrase_matches(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` (their columns) with n_words, n_hit (words inside a match) and items (sorted ids with a match)."""
+    return _judged(at_found(docs, found_places(docs, bench, width), "left").withColumn("_w", terms(F.col("text"))))
+
+
+def keep_clean(docs: DataFrame, bench: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; other columns pass through, whatever their names.
+
+    Only documents with a place where a window may stand are cut into words, once: their words are stored before
+    they are compared, and the verdicts are joined back to the untouched rows.
+    """
+    text = docs.select("doc_id", "text")
+    places = cut_lineage(found_places(text, bench, width))
+    judged = cut_lineage(at_found(text, places, "inner").select("_doc_id", "_text_hash", "_found", terms(F.col("text")).alias("_w")))
+    judged = _judged(judged.withColumnsRenamed({"_doc_id": "bad_id", "_text_hash": "bad_hash"}))
+    bad = cut_lineage(judged.where(contaminated()).select("bad_id", "bad_hash"))
+
+    def clean(d: DataFrame) -> DataFrame:
+        same = (F.xxhash64(d["text"]) == F.col("bad_hash")) & d["doc_id"].eqNullSafe(F.col("bad_id"))
+        return d.join(bad, same, "left_anti")
+
+    return unclashed(docs, clean)
+
+
+def _judged(d: DataFrame) -> DataFrame:
     valid = F.filter(F.col("_found"), lambda c: F.slice(F.col("_w"), c["start"] + 1, F.size(c["words"])) == c["words"])
     d = d.withColumn("n_words", F.size("_w").cast("bigint")).withColumn("_valid", F.when(F.col("_found").isNull(), F.lit(None)).otherwise(valid))
     covered = F.array_distinct(F.flatten(F.transform("_valid", lambda c: F.sequence(c["start"], c["start"] + F.size(c["words"]) - 1))))

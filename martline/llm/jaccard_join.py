@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.llm.common import unclashed
 from martline.llm.components import connected_components
 from martline.llm.hashing import mix, text_blocks, word_hashes
 from martline.session import cut_lineage
@@ -249,11 +250,16 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the row of the least id, then key, then one of the repeated rows.
+    """The rows of ``docs`` that stay: of each group the row of the least id, then key, then (of rows equal in both) the
+    least other columns written as JSON; other columns pass through, whatever their names.
 
     Groups are told apart by their label, so groups that share an id, or have NULL ids only, keep a row each. Every
     row without shingles stays, being a group of its own.
     """
+    return unclashed(docs, _keep_one_of_each)
+
+
+def _keep_one_of_each(docs: DataFrame) -> DataFrame:
     g = similar_groups(docs.select("doc_id", "text")).select("doc_id", "key", "label")
     rows = g.where("label is not null").groupBy("label", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
     least = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n")).alias("s"))
@@ -264,5 +270,6 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     once, repeated = docs.join(stays.where("_g_n = 1"), same, "left_semi"), stays.where("_g_n > 1")
     if repeated.isEmpty():
         return once
-    one = docs.join(repeated, same).dropDuplicates(["_g_id", "_g_key"])
-    return once.unionByName(one.select(*[docs[c] for c in docs.columns]))
+    row = F.struct(*[docs[c] for c in docs.columns])
+    one = docs.join(repeated, same).groupBy("_g_id", "_g_key").agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return once.unionByName(one.select("row.*"))

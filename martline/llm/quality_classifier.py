@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martline.llm.common import unclashed
 from martline.session import cut_lineage
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 16, 6, 0.5
@@ -167,5 +168,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject."""
-    return score_documents(docs, fit(docs, labels)).where(F.col("_score") >= threshold).drop("_score")
+    """The rows of ``docs`` that the classifier does not reject; other columns pass through, whatever their names."""
+    model = fit(docs.select("doc_id", "text"), labels)
+    return unclashed(docs, lambda d: score_documents(d, model).where(F.col("_score") >= threshold))

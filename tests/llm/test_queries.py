@@ -30,20 +30,51 @@ def texts(spark, tmp_path_factory, con):
     return dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
 
 
-def without_repeated_lines(texts):
-    """doc_id -> (text that stays, removed (start, end)): the first of equal normalised lines stays."""
-    seen, out = set(), {}
+def sentences(text):
+    """[line start, line end, [(start, end, words)]] of every line, cut after sentence ends."""
+    at, out = 0, []
+    for line in (text or "").split("\n"):
+        cuts, k = [0], 0
+        for m in re.finditer(r"(?:[.!?][\"')\]]*[^\S\n]+|[。！？]+)", line):
+            if m.end() < len(line):
+                cuts.append(m.end())
+        out.append((at, at + len(line), [(at + a, at + b, line[a:b].lower().split()) for a, b in zip(cuts, [*cuts[1:], len(line)])]))
+        at += len(line) + 1
+    return out
+
+
+def without_repeated_units(texts):
+    """doc_id -> (text that stays, removed (start, end)): every occurrence of a unit but the first loses its segments."""
+    places, first = {}, {}
     for i in sorted(texts):
-        at, keep, cut = 0, [], []
-        for line in (texts[i] or "").split("\n"):
-            words = line.lower().split()
-            if len(words) >= line_dedup.MIN_WORDS and tuple(words) in seen:
-                cut.append((at, at + len(line)))
-            else:
-                keep.append(line)
-                if len(words) >= line_dedup.MIN_WORDS:
-                    seen.add(tuple(words))
-            at += len(line) + 1
+        segments = [x for _, _, line in sentences(texts[i]) for x in line if x[2]]
+        runs = set()
+        for k in range(len(segments)):
+            for step in (1, -1):
+                j, n = k, 0
+                while 0 <= j < len(segments):
+                    n += len(segments[j][2])
+                    if n >= line_dedup.MIN_WORDS:
+                        runs.add((min(k, j), max(k, j)))
+                        break
+                    j += step
+        for k, j in sorted(runs):
+            unit = tuple(w for x in segments[k : j + 1] for w in x[2])
+            places.setdefault(i, []).append((unit, k, [x[0] for x in segments[k : j + 1]]))
+            first.setdefault(unit, (i, k))
+    out = {}
+    for i in texts:
+        gone = {a for unit, k, starts in places.get(i, ()) if first[unit] != (i, k) for a in starts}
+        keep, cut = [], []
+        for start, end, line in sentences(texts[i]):
+            kept = "".join(texts[i][a:b] for a, b, _ in line if a not in gone) if texts[i] else ""
+            spans = []
+            for a, b, _ in line:
+                if a in gone:
+                    spans = spans[:-1] + [(spans[-1][0], b)] if spans and spans[-1][1] == a else spans + [(a, b)]
+            if not spans or sum(b - a for a, b in spans) < end - start:
+                keep.append(kept)
+            cut += spans
         out[i] = (None if texts[i] is None else "\n".join(keep), cut)
     return out
 
@@ -108,7 +139,7 @@ def test_jaccard_query(spark, texts):
 
 
 def test_line_dedup_query(spark, texts):
-    want = without_repeated_lines(texts)
+    want = without_repeated_units(texts)
     got = {r.doc_id: (r.text, [(s.start, s.end) for s in r.removed]) for r in queries.op9_line_dedup(spark, SF).collect()}
     assert got == want and any(cut for _, cut in want.values())
 
@@ -152,12 +183,12 @@ def test_language_query(spark, con, texts):
 
 
 def test_pipeline(spark, con, texts):
-    """All five stages, each in its plain form: model scores, all pairs, a set of lines, and the SQL of the last two."""
+    """All five stages, each in its plain form: model scores, all pairs, a table of units, and the SQL of the last two."""
     scores = quality(texts, labels_of(con))
     docs = {i: t for i, t in texts.items() if scores[i] >= 0.5}
     groups = similar(docs)
     docs = {i: t for i, t in docs.items() if groups[i][0] == i}
-    cleaned = {i: t for i, (t, _) in without_repeated_lines(docs).items()}
+    cleaned = {i: t for i, (t, _) in without_repeated_units(docs).items()}
     assert 0 < len(cleaned) < len(texts) and cleaned != docs
     c = duckdb.connect()
     c.execute(f"CREATE TABLE benchmark AS SELECT * FROM read_parquet('{SF}/benchmark.parquet')")
