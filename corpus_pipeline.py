@@ -25,15 +25,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document or line holds are cut out of the text; ``n_chars`` follows."""
-    cut = line_dedup.dedup_lines(docs).drop("removed")
+    """Lines and passages that an earlier document or place holds are cut out of the text; ``n_chars`` follows."""
+    cut = line_dedup.clean_texts(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more is benchmark text go."""
-    matched = decontaminate.phrase_matches(docs, table(spark, sf_dir, "benchmark"))
-    return matched.where(~decontaminate.contaminated()).select(*docs.columns)
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
