@@ -1,25 +1,26 @@
 """License scans by conditional compression.
 
-Method. A span of a text is a candidate for a template's passage if it holds enough of the passage's words around a
-trigger. It is compressed alone and with the template as a raw zstandard dictionary; a template that explains the
-span shrinks it to a few bytes. Every template whose relative reduction is over the threshold is confirmed by the
-exact differences in wording between the span and the passage.
-
-Spans are runs of words, whatever the lines, blank lines and comment marks between them, so a notice is found in
-wrapped text, across paragraphs and in the middle of a long line. No match is lost by the choice of candidates: a
-match has a trigger, differs in at most ``MAX_DIFFERENCE`` of the passage's words and so lies in a window of that
-many more words around the trigger, and holds the other words of the passage. A wording without any trigger word
-is not found.
+Method. Around every trigger of a text, blocks of words are candidates, one for each size of passage. A block is compressed alone
+and with each passage of its size as a raw zstandard dictionary; the bytes that the dictionary saves, as a share of what
+the passage itself takes, rank the passages. Those that save ``MIN_REDUCTION`` or more are confirmed, largest saving
+first, by the exact differences in wording between the passage and the run of words round the trigger that is closest
+to it. Of overlapping confirmed notices the one whose wording its dictionary saves most bytes of stays: the ranking decides, not
+the count of words.
+
+Blocks are runs of words, whatever the lines, blank lines and comment marks between them, so a notice is found in
+wrapped text, across paragraphs and in the middle of a long line. A confirmed notice has a trigger, differs in at most
+``MAX_DIFFERENCE`` of the passage's words and so lies in a block of that many more words on both sides of the trigger. A
+wording without any trigger word is not found.
 
 Scale. One pass over the texts without a shuffle. A JVM filter keeps documents with a trigger word, so Python
-sees few of them; there a count of words by prefix sums drops most windows before anything is compressed. Windows
-are bounded by the longest passage; every trigger of a text has its windows, so nothing is skipped in long texts.
-Templates are constants of the library, far below a megabyte.
-
-Defined cases: NULL and empty texts have no spans; a text with several notices gives a row for each; repeated
-rows give repeated findings; ties go to the smaller wording difference, then to the longer passage, the larger
-reduction and the id in alphabetical order; offsets reach to the line's ends where no other word stands there; other
-columns are not read; an empty table gives no rows.
+sees few of them. Blocks are bounded by the longest passage; every trigger of a text has its blocks but those inside
+a notice found word for word, so nothing is skipped in long texts. Templates are constants of the library, far below a
+megabyte, prepared as dictionaries once a worker.
+
+Defined cases: NULL and empty texts have no blocks; a very long text is scanned whole; a text with several notices gives a row for each; repeated
+rows give repeated findings; ties go to the smaller wording difference, then to the longer passage and the id in
+alphabetical order; offsets reach to the line's ends where no other word stands there; other columns are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 _GAP = "[^A-Za-z0-9]{1,40}"
 TRIGGER = rf"(?i)licen[sc]|copyright|\(c\)|spdx|permission{_GAP}is{_GAP}hereby|public{_GAP}domain|redistribution{_GAP}and{_GAP}use|warrant"
 MIN_REDUCTION, MAX_DIFFERENCE = 0.25, 0.2
+LEVEL = 19
 
 # The wording of public license notices, by SPDX id. Short notice lines first, then standard text.
 TEMPLATES = {
@@ -117,34 +118,65 @@ TEMPLATES = {
 
 
 WORD = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*[A-Za-z0-9+]|[A-Za-z0-9]")
-#: A line end with the comment marks around it.
-WRAP = re.compile(r"[\s#*/;%|>-]*\n[\s#*/;%|>-]*")
 
 
 def _words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def _compressor(words: list[str]):
+    # a raw dictionary shorter than eight bytes is refused, so each one is led by white space
+    raw = zstandard.ZstdCompressionDict((" " * 8 + " ".join(words)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    raw.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(dict_data=raw, write_content_size=False)
+
+
 class Matcher:
-    """Compressors with each template as a raw dictionary; built once per Python worker."""
+    """Compressors with each passage as a raw dictionary; built once per Python worker."""
 
     def __init__(self, templates: dict[str, list[str]] = TEMPLATES):
         self.passages = [(k, _words(p)) for k, v in templates.items() for p in v]
-        vocabulary = sorted({w for _, words in self.passages for w in words})
-        self.number = {w: i for i, w in enumerate(vocabulary)}
-        self.holds = np.zeros((len(self.passages), len(vocabulary) + 1), np.bool_)  # the last column: any other word
-        for row, (_, words) in zip(self.holds, self.passages):
-            row[[self.number[w] for w in words]] = True
-        # a raw dictionary shorter than eight bytes is refused, so each one is led by white space
-        self.with_dict = {k: zstandard.ZstdCompressor(level=19, dict_data=zstandard.ZstdCompressionDict((" " * 8 + "\n".join(v)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False) for k, v in templates.items()}
-        self.alone = zstandard.ZstdCompressor(level=19, write_content_size=False)
-        self.reduction = lru_cache(20_000)(self._reduction)
+        self.with_dict = [_compressor(words) for _, words in self.passages]
+        self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+        self.reach = [math.floor(len(words) * (1 + MAX_DIFFERENCE) + 1e-9) for _, words in self.passages]
+        self.own_size = [self._size(" ".join(words)) for _, words in self.passages]
+        #: words on each side of a trigger -> passages of that size
+        self.sizes: dict[int, list[int]] = {}
+        for passage, reach in enumerate(self.reach):
+            self.sizes.setdefault(1 << (reach - 1).bit_length(), []).append(passage)
+        self.saved = lru_cache(20_000)(self._saved)
         self.closest = lru_cache(20_000)(self._closest)
 
-    def _reduction(self, span: str, template: str) -> float:
-        """Relative size reduction of the span by the template."""
-        data = span.encode("utf-8", "surrogatepass")
-        return 1 - len(self.with_dict[template].compress(data)) / len(self.alone.compress(data))
+    def _size(self, text: str) -> int:
+        return len(self.alone.compress(text.encode("utf-8", "surrogatepass")))
+
+    def _saved(self, text: str, passages: tuple[int, ...]) -> tuple[int, ...]:
+        """Bytes that each passage as a dictionary saves on ``text``."""
+        data, size = text.encode("utf-8", "surrogatepass"), self._size(text)
+        return tuple(size - len(self.with_dict[p].compress(data)) for p in passages)
+
+    def ranked(self, own: list[str], trigger: int) -> list[tuple[float, int]]:
+        """(share saved, passage) of the passages over the threshold for the blocks round a trigger, the largest first."""
+        out = []
+        for reach, passages in self.sizes.items():
+            block = " ".join(own[max(0, trigger - reach) : trigger + reach + 1])
+            out += [(saved / self.own_size[p], p) for p, saved in zip(passages, self.saved(block, tuple(passages)))]
+        return sorted(((share, p) for share, p in out if share >= MIN_REDUCTION), key=lambda x: (-x[0], x[1]))
+
+    def confirmed(self, own: list[str], trigger: int, passage: int) -> tuple[int, int, int] | None:
+        """(words that differ, first word, word after the last) of the run of words round the trigger that is the passage."""
+        words, reach = self.passages[passage][1], self.reach[passage]
+        low, high = max(0, trigger - reach), min(trigger + reach + 1, len(own))
+        # the whole window; where another copy stands in it, what is left of it; the passage laid on the trigger
+        tries = [(low, high)]
+        tries += [(max(low, trigger - i - reach + len(words)), min(high, trigger - i + reach)) for i, w in enumerate(words) if w == own[trigger]]
+        for lo, hi in tries:
+            if hit := self.closest(tuple(own[lo:hi]), passage):
+                first, last = lo + hit[1], lo + hit[2]
+                if first <= trigger < last:
+                    return hit[0], first, last
+                tries.append((last, hi) if last <= trigger else (lo, first))
+        return None
 
     def _closest(self, own: tuple[str, ...], passage: int) -> tuple[int, int, int] | None:
         """(words that differ, first word, word after the last) of the run of words closest to the passage, if close enough."""
@@ -164,47 +196,30 @@ class Matcher:
 
 
 def scan_text(text: str, matcher: Matcher, trigger: re.Pattern) -> list[dict]:
-    """All confirmed notices of a text; of overlapping spans the one with fewer differences, then the longer passage."""
+    """All confirmed notices of a text; of overlapping ones the one whose dictionary saves most of its bytes."""
     at = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(text)]
     ends = [x[1] for x in at]
-    triggers = sorted({k for m in trigger.finditer(text) if (k := bisect_right(ends, m.start())) < len(at)})
-    if not triggers:
-        return []
     own = [x[2] for x in at]
-    numbers = np.array([matcher.number.get(w, -1) for w in own])
-    near = np.array(triggers)
-    found = {}
-    for passage, (template, words) in enumerate(matcher.passages):
-        reach = math.floor(len(words) * (1 + MAX_DIFFERENCE) + 1e-9)
-        low, high = np.maximum(near - reach, 0), np.minimum(near + reach + 1, len(own))
-        held = np.concatenate([[0], np.cumsum(matcher.holds[passage][numbers])])
-        done = 0
-        for k in np.flatnonzero(held[high] - held[low] >= (1 - MAX_DIFFERENCE) * len(words)):
-            if near[k] < done:  # in a notice that was found word for word
-                continue
-            # the whole window; where another copy stands in it, what is left of it; the passage laid on the trigger
-            t, tries = int(near[k]), [(int(low[k]), int(high[k]))]
-            tries += [(max(tries[0][0], t - i - reach + len(words)), min(tries[0][1], t - i + reach)) for i, w in enumerate(words) if w == own[t]]
-            for lo, hi in tries:
-                if not (hit := matcher.closest(tuple(own[lo:hi]), passage)):
-                    continue
-                first, last = lo + hit[1], lo + hit[2]
-                if first <= t < last:
-                    break
-                tries.append((last, hi) if last <= t else (lo, first))
-            else:
+    found, done = {}, 0
+    for t in sorted({k for m in trigger.finditer(text) if (k := bisect_right(ends, m.start())) < len(at)}):
+        if t < done:  # in a notice that was found word for word
+            continue
+        for _, passage in matcher.ranked(own, t):
+            if (hit := matcher.confirmed(own, t, passage)) is None:
                 continue
-            if hit[0] == 0:
-                done = last
-            reduction = matcher.reduction(WRAP.sub(" ", text[at[first][0] : at[last - 1][1]]), template)
-            if reduction >= MIN_REDUCTION:
-                found[passage, first, last] = (hit[0], -len(words), -reduction, template, first, last)
+            count, first, last = hit
+            template, words = matcher.passages[passage]
+            span = " ".join(own[first:last])
+            saved = matcher.saved(span, (passage,))[0]
+            found[passage, first, last] = (-saved, count, -len(words), template, first, last, saved / matcher.own_size[passage])
+            if count == 0 and first <= t < last:
+                done = max(done, last)
     kept: list[tuple] = []
     for f in sorted(found.values()):
         if all(f[5] <= x[4] or f[4] >= x[5] for x in kept):
             kept.append(f)
     rows = []
-    for count, n, reduction, template, first, last in sorted(kept, key=lambda x: x[4]):
+    for _, count, _, template, first, last, reduction in sorted(kept, key=lambda x: x[4]):
         start, end = at[first][0], at[last - 1][1]
         line, stop = text.rfind("\n", 0, start) + 1, text.find("\n", end)
         stop = len(text) if stop < 0 else stop
@@ -212,7 +227,7 @@ def scan_text(text: str, matcher: Matcher, trigger: re.Pattern) -> list[dict]:
             start = line
         if not any(c.isalnum() for c in text[end:stop]):
             end = stop
-        rows.append({"license": template, "start": start, "end": end, "reduction": -reduction, "differing_words": count, "n_words": -n})
+        rows.append({"license": template, "start": start, "end": end, "reduction": reduction, "differing_words": count})
     return rows
 
 
