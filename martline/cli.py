@@ -64,6 +64,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--target", required=True, help="target path (or table name with --table)")
         s.add_argument("--table", action="store_true", help="target is a catalog table")
         s.add_argument("--run-ts", default=None, help="load timestamp (default: now)")
+        s.add_argument("--run-id", default=None, help="a load or report that was committed under this id is not repeated")
         s.add_argument("--client-in-join", action="store_true",
                        help="join headers to items and stages on (client, shipment number)")
     k = sub.add_parser("key-check")
@@ -74,10 +75,12 @@ def _parser() -> argparse.ArgumentParser:
                    help="folder with the Parquet tables of an environment (once each)")
     k.add_argument("--report", default=None, help="CSV report folder to append to")
     k.add_argument("--date", default=None)
+    k.add_argument("--run-id", default=None)
     f = sub.add_parser("file-check")
     f.add_argument("--folder", required=True)
     f.add_argument("--report", default=None)
     f.add_argument("--date", default=None)
+    f.add_argument("--run-id", default=None)
     return p
 
 
@@ -87,10 +90,10 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | i
     spark = spark or get_spark(app=f"martline-{args.job}")
     if args.job == "shipment-mart":
         return jobs.load_shipment_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts,
-                                       args.table, client_in_join=args.client_in_join)
+                                       args.table, client_in_join=args.client_in_join, run_id=args.run_id)
     if args.job == "variability-mart":
         return jobs.load_variability_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts,
-                                          args.table, client_in_join=args.client_in_join)
+                                          args.table, client_in_join=args.client_in_join, run_id=args.run_id)
     if args.job == "shipment-points":
         jobs.rebuild_shipment_points(ParquetStaging(spark, args.staging)["tvst"], args.target, args.run_ts,
                                      args.table)
@@ -104,8 +107,8 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | i
             frames[name] = read_current(spark, path or f"{roots[args.environment].rstrip('/')}/{name}")
         config = [{name: [K.RULE_DUPLICATE_CHECK]} for name in frames]
         return jobs.run_key_checks(config, quality.registry_resolver(frames), args.environment, args.report,
-                                   args.date)
-    return jobs.run_file_checks(spark, args.folder, args.report, args.date)
+                                   args.date, args.run_id)
+    return jobs.run_file_checks(spark, args.folder, args.report, args.date, args.run_id)
 
 
 def main() -> None:

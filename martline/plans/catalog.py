@@ -459,10 +459,10 @@ def dimension_refresh(spark, d):
 
 
 def report_append(spark, d):
-    """E4 on two dates, appended to one report."""
+    """E4 on two dates, the second run twice under one run id, appended to one report."""
     path = _fresh_folder(spark, "key-report")
-    for date in REPORT_DATES:
-        jobs.run_key_checks(DQ_CONFIG, dq_resolver(spark, d), ENVIRONMENT, path, date)
+    for date in (*REPORT_DATES, REPORT_DATES[-1]):
+        jobs.run_key_checks(DQ_CONFIG, dq_resolver(spark, d), ENVIRONMENT, path, date, f"night of {date}")
     return spark.read.schema(quality.KEY_REPORT_SCHEMA).option("header", True).csv(path)
 
 
@@ -475,6 +475,27 @@ def file_dup_check(spark, d):
     return folder_duplicates(spark, folder, RUN_DATE)
 
 
+def _csv_folder(spark, d, name: str) -> str:
+    folder = _fresh_folder(spark, "file-check")
+    TD.table(spark, d, name).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return folder
+
+
+def folder_without_csv(spark, d):
+    """A folder that holds lineitem as Parquet only gives no rows; one that holds it as CSV gives its duplicates."""
+    plain = _fresh_folder(spark, "file-check")
+    TD.table(spark, d, "lineitem").select("l_orderkey").write.parquet(f"{plain}/lineitem.parquet")
+    return folder_duplicates(spark, plain, RUN_DATE).unionByName(folder_duplicates(spark, _csv_folder(spark, d, "lineitem"), RUN_DATE))
+
+
+def file_report(spark, d):
+    """E5 on two dates, the first run twice under one run id, appended to a report path of its own and read back."""
+    path, folder = _fresh_folder(spark, "file-report"), _csv_folder(spark, d, "lineitem")
+    for date in (REPORT_DATES[0], *REPORT_DATES):
+        jobs.run_file_checks(spark, folder, path, date, f"night of {date}")
+    return spark.read.schema(quality.FILE_REPORT_SCHEMA).option("header", True).csv(path)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "latest_version_tombstone": latest_version_tombstone,
@@ -517,6 +538,8 @@ def queries() -> dict[str, Query]:
             "dimension_refresh": dimension_refresh,
             "report_append": report_append,
             "file_dup_check": file_dup_check,
+            "folder_without_csv": folder_without_csv,
+            "file_report": file_report,
             "shipment_mart_changes": shipment_mart_changes,
         }
     )

@@ -120,21 +120,21 @@ def rebuild_shipment_points(tvst: DataFrame, target: str, run_ts=None, is_table:
     sinks.full_refresh(shipment_points.rows(tvst), target, shipment_points.COLUMNS, run_ts, is_table=is_table)
 
 
-def _reported(report: DataFrame, report_path: str | None) -> DataFrame:
+def _reported(report: DataFrame, report_path: str | None, run_id: str | None) -> DataFrame:
     """Append ``report`` to ``report_path`` if given; the checks run once (the rows are stored, then returned)."""
     if report_path:
         report = cut_lineage(report)
-        sinks.append_report(report, report_path)
+        sinks.append_report(report, report_path, run_id=run_id)
     return report
 
 
 def run_key_checks(tables_rules: Iterable[Mapping[str, Sequence[str]]], resolve, environment: str,
-                   report_path: str | None = None, run_date: str | None = None) -> DataFrame:
-    """E4: duplicate-key checks over many tables; appended to ``report_path`` if given."""
-    return _reported(quality.key_check_report(tables_rules, resolve, environment, run_date), report_path)
+                   report_path: str | None = None, run_date: str | None = None, run_id: str | None = None) -> DataFrame:
+    """E4: duplicate-key checks over many tables; appended to ``report_path`` if given (once for each ``run_id``)."""
+    return _reported(quality.key_check_report(tables_rules, resolve, environment, run_date), report_path, run_id)
 
 
 def run_file_checks(spark: SparkSession, folder: str, report_path: str | None = None,
-                    run_date: str | None = None) -> DataFrame:
-    """E5: duplicate first-column values per dataset in a folder."""
-    return _reported(folder_duplicates(spark, folder, run_date), report_path)
+                    run_date: str | None = None, run_id: str | None = None) -> DataFrame:
+    """E5: duplicate first-column values per dataset in a folder; appended as by ``run_key_checks``."""
+    return _reported(folder_duplicates(spark, folder, run_date), report_path, run_id)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LOAD_TS
-from .store import Folder, Versions
+from .store import Commit, Folder, Ledger, Versions
 
 
 def stamp(df: DataFrame, run_ts: dt.datetime | str | Column | None = None, col: str = LOAD_TS) -> DataFrame:
@@ -102,9 +102,22 @@ def full_refresh(
         Folder(spark, path).delete("")
 
 
-def append_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Append report rows; CSV part files each carry a header."""
-    w = df.write.mode("append").format(fmt)
+def append_report(df: DataFrame, path: str, fmt: str = "csv", run_id: str | None = None) -> None:
+    """Append report rows; CSV part files each carry a header. A run id that the report's ledger holds appends nothing."""
+    spark = df.sparkSession
+    ledger, run_id = Ledger(spark, path), run_id or uuid.uuid4().hex
+    if run_id in {c.run_id for c in ledger.settle()}:
+        return
+    ledger.drop(run_id)
+    w = df.write.format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
-    w.save(path)
+    w.save(ledger.staged(run_id))
+    while True:
+        known = ledger.settle()
+        if run_id in {c.run_id for c in known}:  # the same run, begun twice, was faster elsewhere
+            return
+        commit = Commit(known[-1].version + 1 if known else 1, run_id, -1)
+        if ledger.claim(commit):
+            ledger.publish(commit)
+            return

@@ -173,7 +173,7 @@ class Commit:
 
     version: int
     run_id: str
-    rows: int
+    rows: int  # -1 if they were not counted
 
 
 class Ledger:

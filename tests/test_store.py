@@ -183,3 +183,30 @@ def test_a_version_is_claimed_once(spark, tmp_dir):
         t.join()
     assert sorted(won) == [False] * 7 + [True]
     assert len(ledger.commits()) == 1
+
+
+def test_a_repeated_report_run_appends_once(spark, tmp_dir):
+    path = f"{tmp_dir}/report"
+    for run in ("monday", "monday", "tuesday", None, None):
+        sinks.append_report(rows(spark, [(1, "a"), (2, "b")]), path, run_id=run)
+    assert spark.read.option("header", True).csv(path).count() == 8
+
+
+@pytest.mark.parametrize("step", ["claim", "publish", "drop"])
+def test_a_killed_report_run_is_finished_once(spark, tmp_dir, monkeypatch, step):
+    path, report = f"{tmp_dir}/report", rows(spark, [(1, "a")])
+    original, calls = getattr(Ledger, step), []
+
+    def kill(self, *args):
+        calls.append(args)
+        if step == "drop" and len(calls) == 1:
+            return original(self, *args)
+        raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(Ledger, step, kill)
+        with pytest.raises(Killed):
+            sinks.append_report(report, path, run_id="r")
+    for run in ("r", "r"):
+        sinks.append_report(report, path, run_id=run)
+    assert spark.read.option("header", True).csv(path).count() == 1
