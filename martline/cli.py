@@ -27,6 +27,7 @@ from .operators import quality
 from .plans import jobs
 from .session import get_spark
 from .sources.sinks import read_current
+from .sources.state import StagingState
 from .sources.testdata import STAGING
 
 
@@ -65,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--table", action="store_true", help="target is a catalog table")
         s.add_argument("--run-ts", default=None, help="load timestamp (default: now)")
         s.add_argument("--run-id", default=None, help="a load or report that was committed under this id is not repeated")
+        s.add_argument("--state", default=None, help="folder with the stored state of the staging tables; only new files are read")
         s.add_argument("--client-in-join", action="store_true",
                        help="join headers to items and stages on (client, shipment number)")
     k = sub.add_parser("key-check")
@@ -88,14 +90,16 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | i
     """Run one job; returns the number of appended rows or the report."""
     args = _parser().parse_args(list(argv))
     spark = spark or get_spark(app=f"martline-{args.job}")
+    if "staging" in args:
+        src = StagingState(spark, args.staging, args.state) if args.state else ParquetStaging(spark, args.staging)
     if args.job == "shipment-mart":
-        return jobs.load_shipment_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts,
+        return jobs.load_shipment_mart(spark, src, args.target, args.run_ts,
                                        args.table, client_in_join=args.client_in_join, run_id=args.run_id)
     if args.job == "variability-mart":
-        return jobs.load_variability_mart(spark, ParquetStaging(spark, args.staging), args.target, args.run_ts,
+        return jobs.load_variability_mart(spark, src, args.target, args.run_ts,
                                           args.table, client_in_join=args.client_in_join, run_id=args.run_id)
     if args.job == "shipment-points":
-        jobs.rebuild_shipment_points(ParquetStaging(spark, args.staging)["tvst"], args.target, args.run_ts,
+        jobs.rebuild_shipment_points(src["tvst"], args.target, args.run_ts,
                                      args.table)
         return None
     if args.job == "key-check":

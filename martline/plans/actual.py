@@ -1,84 +1,91 @@
 """Latest versions of the staging tables (one definition per table).
 
-Each resolver projects the staging table to the columns the marts use
+Each definition projects the staging table to the columns the marts use
 before ranking, so the window sort (with its repeatable tie-break over the
-remaining columns) never forces the scan to read unused columns.
+remaining columns) never forces the scan to read unused columns. ``newest``
+keeps one row per key, tombstones included: the newest of old winners and new rows
+is the newest of all rows, so a stored state can be carried on by new loads alone
+(``sources.state``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ..constants import IS_DELETED
 from ..operators.versions import latest_version
 
 
-def vttk(df: DataFrame) -> DataFrame:
-    cols = ["mandt", "tknum", "datbg", "zzmatrix", "ernam", "erdat", "erzet", "add02", "tdlnr", "route",
-            "tech_load_ts", "tech_is_deleted"]
-    return latest_version(df.select(*cols), ["mandt", "tknum"])
-
-
-def vttp(df: DataFrame) -> DataFrame:
-    cols = ["mandt", "tknum", "tpnum", "vbeln", "tech_load_ts", "tech_is_deleted"]
-    return latest_version(df.select(*cols), ["mandt", "tknum", "tpnum"])
-
-
-def likp(df: DataFrame) -> DataFrame:
-    cols = ["vbeln", "wadat", "vkorg", "kunnr", "ntgew", "tech_load_ts", "tech_is_deleted"]
-    return latest_version(df.select(*cols), ["vbeln"])
-
-
-def vtts(df: DataFrame) -> DataFrame:
-    """Stage types above 2 are dropped before ranking; among equal load
-    times the higher stage type wins."""
-    cols = ["mandt", "tknum", "tstyp", "vstel", "tech_load_ts", "tech_is_deleted"]
-    return latest_version(
-        df.select(*cols), ["mandt", "tknum"], order=("tech_load_ts", "tstyp"), pre=F.col("tstyp") <= 2
-    )
-
-
-def otif_delivery(df: DataFrame) -> DataFrame:
-    cols = ["SHIPMENT_NUM", "ETA_ACCORDING_CLIENT_PO", "FACT_UNLOADING_DATE", "TECH_LOAD_TS"]
-    return latest_version(df.select(*cols), ["SHIPMENT_NUM"], order=("TECH_LOAD_TS",), deleted_col=None)
-
-
-def kna1(df: DataFrame) -> DataFrame:
-    return latest_version(df.select("kunnr", "name1", "tech_load_ts", "tech_is_deleted"), ["kunnr"])
-
-
-def lfa1(df: DataFrame) -> DataFrame:
-    return latest_version(df.select("lifnr", "name1", "tech_load_ts", "tech_is_deleted"), ["lifnr"])
-
-
-def transportation_costs(df: DataFrame) -> DataFrame:
-    cols = ["SHIPMENT_NUMBER", "CURRENCY_FACT", "CURRENCY_PLAN", "CURRENCY_BUSINESS_PLAN", "FACT_COST",
-            "PLAN_COST", "BUSINESS_PLAN_COST", "AUCTION", "TECH_LOAD_TS"]
-    return latest_version(df.select(*cols), ["SHIPMENT_NUMBER"], order=("TECH_LOAD_TS",), deleted_col=None)
-
-
-def currency_rates(df: DataFrame) -> DataFrame:
-    cols = ["rate_date", "rate_usd", "rate_eur", "TECH_LOAD_TS"]
-    return latest_version(df.select(*cols), ["rate_date"], order=("TECH_LOAD_TS",), deleted_col=None)
-
-
-def tvrab(df: DataFrame) -> DataFrame:
-    cols = ["route", "abnum", "knanf", "knend", "tech_load_ts", "tech_is_deleted"]
-    return latest_version(df.select(*cols), ["route", "abnum"])
-
-
-def transport_leg(df: DataFrame) -> DataFrame:
-    """Only live legs in state 1 (state tested after ranking)."""
-    cols = ["id", "code", "transportation_time", "primitive_entity_data_state_id", "tech_load_ts",
-            "tech_is_deleted"]
-    return latest_version(df.select(*cols), ["id"], post=F.col("primitive_entity_data_state_id") == 1)
-
-
-def tvst(df: DataFrame) -> DataFrame:
-    return latest_version(df.select("vstel", "vtext", "tech_load_ts"), ["vstel"], deleted_col=None)
-
-
-def reference_dim(df: DataFrame, keys, resolve_versions: bool = True) -> DataFrame:
+@dataclass(frozen=True)
+class Versioned:
+    """How a staging table's history is resolved; ``columns`` empty: all of them."""
+
+    keys: tuple[str, ...]
+    columns: tuple[str, ...] = ()
+    order: tuple[str, ...] = ("tech_load_ts",)
+    tombstones: bool = True
+    pre: str | None = None
+    post: str | None = None
+
+    def _used(self, df: DataFrame) -> DataFrame:
+        return df.select(*self.columns) if self.columns else df
+
+    def newest(self, df: DataFrame) -> DataFrame:
+        """The newest row per key, deleted or not."""
+        return latest_version(self._used(df), self.keys, self.order, deleted_col=None, pre=self.pre)
+
+    def current(self, df: DataFrame) -> DataFrame:
+        """The newest row per key, if it is alive and passes ``post``."""
+        deleted = IS_DELETED if self.tombstones else None
+        return latest_version(self._used(df), self.keys, self.order, deleted, pre=self.pre, post=self.post)
+
+
+_LOADED = ("tech_load_ts", "tech_is_deleted")
+VERSIONED = {
+    "vttk": Versioned(("mandt", "tknum"), ("mandt", "tknum", "datbg", "zzmatrix", "ernam", "erdat", "erzet", "add02",
+                                           "tdlnr", "route", *_LOADED)),
+    "vttp": Versioned(("mandt", "tknum", "tpnum"), ("mandt", "tknum", "tpnum", "vbeln", *_LOADED)),
+    "likp": Versioned(("vbeln",), ("vbeln", "wadat", "vkorg", "kunnr", "ntgew", *_LOADED)),
+    # stage types above 2 are dropped before ranking; among equal load times the higher stage type wins
+    "vtts": Versioned(("mandt", "tknum"), ("mandt", "tknum", "tstyp", "vstel", *_LOADED),
+                      order=("tech_load_ts", "tstyp"), pre="tstyp <= 2"),
+    "otif_delivery": Versioned(("SHIPMENT_NUM",), ("SHIPMENT_NUM", "ETA_ACCORDING_CLIENT_PO", "FACT_UNLOADING_DATE",
+                                                   "TECH_LOAD_TS"), order=("TECH_LOAD_TS",), tombstones=False),
+    "kna1": Versioned(("kunnr",), ("kunnr", "name1", *_LOADED)),
+    "lfa1": Versioned(("lifnr",), ("lifnr", "name1", *_LOADED)),
+    "transportation_costs": Versioned(
+        ("SHIPMENT_NUMBER",), ("SHIPMENT_NUMBER", "CURRENCY_FACT", "CURRENCY_PLAN", "CURRENCY_BUSINESS_PLAN", "FACT_COST",
+                               "PLAN_COST", "BUSINESS_PLAN_COST", "AUCTION", "TECH_LOAD_TS"),
+        order=("TECH_LOAD_TS",), tombstones=False),
+    "currency_rate_ref": Versioned(("rate_date",), ("rate_date", "rate_usd", "rate_eur", "TECH_LOAD_TS"),
+                                   order=("TECH_LOAD_TS",), tombstones=False),
+    "tvrab": Versioned(("route", "abnum"), ("route", "abnum", "knanf", "knend", *_LOADED)),
+    # only live legs in state 1 (the state is tested after ranking)
+    "transport_leg": Versioned(("id",), ("id", "code", "transportation_time", "primitive_entity_data_state_id", *_LOADED),
+                               post="primitive_entity_data_state_id = 1"),
+    "tvst": Versioned(("vstel",), ("vstel", "vtext", "tech_load_ts"), tombstones=False),
+    "delivery_point_ref": Versioned(("delivery_point_code",), tombstones=False),
+    "business_unit_ref": Versioned(("business_unit_code", "shipping_point_code"), tombstones=False),
+}
+
+vttk = VERSIONED["vttk"].current
+vttp = VERSIONED["vttp"].current
+likp = VERSIONED["likp"].current
+vtts = VERSIONED["vtts"].current
+otif_delivery = VERSIONED["otif_delivery"].current
+kna1 = VERSIONED["kna1"].current
+lfa1 = VERSIONED["lfa1"].current
+transportation_costs = VERSIONED["transportation_costs"].current
+currency_rates = VERSIONED["currency_rate_ref"].current
+tvrab = VERSIONED["tvrab"].current
+transport_leg = VERSIONED["transport_leg"].current
+tvst = VERSIONED["tvst"].current
+
+
+def reference_dim(df: DataFrame, keys: Sequence[str], resolve_versions: bool = True) -> DataFrame:
     """A reference dimension; by default its latest load per key (its key
     check treats the load time as part of the key, so several loads can
     exist and would otherwise multiply joined rows)."""

@@ -35,6 +35,7 @@ from ..session import checkpoint_dir, cut_lineage
 from ..sources import testdata as TD
 from ..sources.files import folder_duplicates
 from ..sources.sinks import stamp
+from ..sources.state import advance
 from . import actual, jobs, shipment_mart, shipment_points, variability_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -449,6 +450,15 @@ def incremental_load(spark, d):
     return jobs.read_target(spark, target)
 
 
+def incremental_versions(spark, d):
+    """Shipment items resolved from a state that three loads carried on, versions of a key arriving in any order."""
+    items, source, state = TD.vttp(spark, d), _fresh_folder(spark, "staged-vttp"), _fresh_folder(spark, "state-vttp")
+    for part in range(3):
+        items.where(F.pmod(F.dayofmonth("tech_load_ts"), F.lit(3)) == part).write.mode("append").parquet(source)
+        rows, _ = advance(spark, source, state, actual.VERSIONED["vttp"])
+    return actual.vttp(rows)
+
+
 def dimension_refresh(spark, d):
     """E3 twice: with the older shipping point texts, then as staged; the refresh replaces the table."""
     tvst, target = TD.staging(spark, d)["tvst"], _fresh_folder(spark, "dimension-refresh")
@@ -535,6 +545,7 @@ def queries() -> dict[str, Query]:
             "mart_key_checks": mart_key_checks,
             "environment_key_checks": environment_key_checks,
             "incremental_load": incremental_load,
+            "incremental_versions": incremental_versions,
             "dimension_refresh": dimension_refresh,
             "report_append": report_append,
             "file_dup_check": file_dup_check,
