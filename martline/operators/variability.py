@@ -217,36 +217,44 @@ def metric_lattice(cells: DataFrame) -> DataFrame:
     One join then brings the weighted families back to the fine rows. Both its sides start from the exchange by
     delivery point, which Spark runs once and reuses.
     """
-
-    def over(*dims: str) -> Window:
-        return Window.partitionBy(PERIOD, *dims)
-
     fine = [period_stats(cells, kind).select(period_name(kind).alias(PERIOD), *DIMS, "n", "m", "a") for kind in PERIODS]
     leaf = fine[0].unionByName(fine[1]).repartition(PERIOD, DEST)
-    # two selects: windows whose keys are prefixes of one order share its sort
-    for families in ((("all_dest", (DEST, BU, SP)), ("bu_dest", (DEST, BU)), ("only_dest", (DEST,))),
-                     (("sc_bu_dest", (DEST, SC, BU)), ("sc_dest", (DEST, SC)))):
-        merged = []
-        for metric, dims in families:
-            s = F.coalesce(F.sum("n").over(over(*dims)) * F.max("m").over(over(*dims)), F.lit(0))
-            merged += [s.alias(f"{metric}_s"), F.sum("a").over(over(*dims)).alias(f"{metric}_a")]
-            if metric == "all_dest":
-                # (period, dims) are unique, so one row of each group holds its least channel
-                merged.append(F.col(SC).eqNullSafe(F.min(SC).over(over(*dims))).alias("at_one"))
-        leaf = leaf.select("*", *merged)
-    leaf = leaf.withColumn("dest_s", F.coalesce(F.col("n") * F.col("m"), F.lit(0))).withColumnRenamed("a", "dest_a")
+    merged = {"s": lambda w, _: F.coalesce(F.sum("n").over(w) * F.max("m").over(w), F.lit(0)),
+              "a": lambda w, _: F.sum("dest_a").over(w)}
+    leaf = leaf.withColumnRenamed("a", "dest_a").withColumn("dest_s", F.coalesce(F.col("n") * F.col("m"), F.lit(0)))
+    # (period, dims) are unique, so one row of each group holds its least channel
+    leaf = _windows(leaf, [("all_dest", (DEST, BU, SP))], merged | {"least": lambda w, _: F.min(SC).over(w)})
 
+    at_one = F.col(SC).eqNullSafe(F.col("all_dest_least"))
     sums = [F.sum(f"dest_{x}").alias(f"sp_{x}") for x in "as"]
-    sums += [F.sum(F.when(F.col("at_one"), F.col(f"all_dest_{x}"))).alias(f"once_{x}") for x in "as"]
+    sums += [F.sum(F.when(at_one, F.col(f"all_dest_{x}"))).alias(f"once_{x}") for x in "as"]
     points = leaf.groupBy(PERIOD, SC, BU, SP).agg(*sums).repartition(PERIOD)
-    levels = (("all_sp", (BU, SP), "once"), ("all_bu", (BU,), "once"), ("bu", (SC, BU), "sp"), ("sc", (SC,), "sp"), ("total", (), "sp"))
-    points = points.select("*", *[F.sum(f"{of}_{x}").over(over(*dims)).alias(f"{metric}_{x}") for metric, dims, of in levels for x in "as"])
+    of = {"all_sp": "once", "all_bu": "once", "bu": "sp", "sc": "sp", "total": "sp"}
+    points = _windows(points, [("all_sp", (BU, SP)), ("all_bu", (BU,)), ("bu", (SC, BU)), ("sc", (SC,)), ("total", ())], {
+        x: lambda w, metric, x=x: F.sum(f"{of[metric]}_{x}").over(w) for x in "sa"})
+
+    leaf = _windows(leaf, [("bu_dest", (DEST, BU)), ("only_dest", (DEST,)), ("sc_bu_dest", (DEST, SC, BU)),
+                           ("sc_dest", (DEST, SC))], merged)
     wide = _same_keys(leaf, points.drop("once_a", "once_s"), [PERIOD, SC, BU, SP])
     # a NULL dimension belongs to no group that has it as a key
     value = [F.when(_present(m.dims), ratio(f"{m.name}_s", f"{m.name}_a")).alias(m.name) for m in METRICS]
     return wide.select(PERIOD, *DIMS, *value)
 
 
+def _windows(df: DataFrame, families: Sequence[tuple[str, Sequence[str]]], values) -> DataFrame:
+    """``df`` with ``{family}_{name}`` for each family and each of ``values``, over (period, family's dimensions).
+
+    Families come finest first, so that those whose keys begin alike share a sort. The filter is always true (both
+    sums are counts); without it Spark moves coarser windows below finer ones, where each needs a sort of its own.
+    """
+    for metric, dims in families:
+        w = Window.partitionBy(PERIOD, *dims)
+        made = {name: value(w, metric) for name, value in values.items()}
+        df = df.select("*", *[c.alias(f"{metric}_{name}") for name, c in made.items() if c is not None])
+        df = df.where(F.col(f"{metric}_s") >= 0)
+    return df
+
+
 def _present(dims: Sequence[str]) -> Column:
     return F.expr(" and ".join(f"{d} is not null" for d in dims) or "true")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from martline.operators import variability as V
 from martline.plans import catalog
+from martline.session import cut_lineage
 
 CELL_COLS = f"{V.DATE} date, {V.SC} string, {V.BU} string, {V.SP} string, {V.DEST} string, {V.DAY_QTY} bigint"
 
@@ -80,3 +81,40 @@ def test_wide_mart_agrees_with_metric_tables(spark):
             col = f"{m.column}_{kind}_variability"
             got = wide.select("week", "month", "year", V.SC, V.BU, V.SP, "delivery_point", F.col(col).alias("v"))
             assert ref.exceptAll(got).count() == 0 and got.exceptAll(ref).count() == 0, col
+
+
+def test_lattice_reads_each_kind_once_and_joins_once(spark):
+    """Without broadcast: one scan of the cells a kind, one join, one reused exchange, and few exchanges."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        day = cut_lineage(catalog._day(spark, "/root/testdata/sf0.001"))
+        lattice = V.metric_lattice(day)
+        lattice.collect()
+        plan = lattice._jdf.queryExecution().executedPlan().toString()
+        plan = plan[: plan.index("Initial Plan")]
+        count = lambda name: sum(name in line for line in plan.splitlines())
+        assert count("SortMergeJoin") == 1 and count("BroadcastHashJoin") == 0
+        assert count("FileScan") == 2 and count("ReusedExchange") == 1
+        assert count("Exchange hashpartitioning") <= 9  # the reused one is named twice
+        assert count("Sort [") <= 7  # of 11 windows and a join
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_null_dimensions_belong_to_no_group(spark):
+    rows = [(dt.date(2024, 1, 15), None, "bu", "sp", "d", 3), (dt.date(2024, 1, 16), "sc", "bu", "sp", "d", 1),
+            (dt.date(2024, 1, 16), "sc", "bu", None, "e", 2), (dt.date(2024, 1, 17), None, "bu", "sp", "d", 1)]
+    day = _cells(spark, rows)
+    wide = V.variability_mart(day)
+    base = V.base_rows(day)
+    for kind in ("week", "month"):
+        fine = V.fine_stats(day, kind)
+        for m in V.METRICS:
+            keys = [*V.PERIODS[kind], *m.dims]
+            ref = base.join(V.metric_table(fine, kind, m).select(*keys, F.col("variability").alias("v")), keys, "left")
+            got = wide.select(F.col(f"{m.column}_{kind}_variability").alias("v"))
+            assert sorted(str(r.v) for r in ref.collect()) == sorted(str(r.v) for r in got.collect()), (m.name, kind)
