@@ -78,6 +78,7 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--report", default=None, help="CSV report folder to append to")
     k.add_argument("--date", default=None)
     k.add_argument("--run-id", default=None)
+    k.add_argument("--state", default=None, help="folder with the results of loads checked before; only new loads are read")
     f = sub.add_parser("file-check")
     f.add_argument("--folder", required=True)
     f.add_argument("--report", default=None)
@@ -104,11 +105,15 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame | i
         return None
     if args.job == "key-check":
         roots = dict(r.split("=", 1) for r in args.root)
-        frames = {}
+        paths = {}
         for name, _, path in (t.partition("=") for t in args.tables):
             if not path and args.environment not in roots:
                 raise SystemExit(f"no --root for environment {args.environment!r}, needed for table {name!r}")
-            frames[name] = read_current(spark, path or f"{roots[args.environment].rstrip('/')}/{name}")
+            paths[name] = path or f"{roots[args.environment].rstrip('/')}/{name}"
+        if args.state:
+            return jobs.run_stored_key_checks(spark, paths, args.state, args.environment, report_path=args.report,
+                                              run_date=args.date, run_id=args.run_id)
+        frames = {name: read_current(spark, path) for name, path in paths.items()}
         config = [{name: [K.RULE_DUPLICATE_CHECK]} for name in frames]
         return jobs.run_key_checks(config, quality.registry_resolver(frames), args.environment, args.report,
                                    args.date, args.run_id)

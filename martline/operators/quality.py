@@ -40,7 +40,7 @@ FILE_REPORT_SCHEMA = T.StructType(
 )
 
 
-def _date_col(run_date: str | Column | None) -> Column:
+def date_column(run_date: str | Column | None) -> Column:
     if run_date is None:
         return F.date_format(F.current_date(), "yyyy-MM-dd")
     return F.lit(run_date) if isinstance(run_date, str) else run_date
@@ -140,7 +140,7 @@ def key_check_report(
                 res = fn(checked.df, checked.keys, checked.load_ts)
                 parts.append(
                     res.select(
-                        _date_col(run_date).alias("date"),
+                        date_column(run_date).alias("date"),
                         F.lit(environment).alias("environment"),
                         F.lit(table).alias("dm_table"),
                         F.lit(rule).alias("validation_rule"),
@@ -172,7 +172,7 @@ def file_duplicates(
     r = rows if keep_null_keys else rows.where(F.col(key).isNotNull())
     dup = r.groupBy(source, key).agg(F.count(F.lit(1)).alias("number_of_dublicates"))
     return dup.where(F.col("number_of_dublicates") > 1).select(
-        _date_col(run_date).alias("date"),
+        date_column(run_date).alias("date"),
         F.col(source).alias("excel_source"),
         F.col(key).cast("string").alias("pk_num"),
         F.col("number_of_dublicates").cast("bigint"),

@@ -13,10 +13,12 @@ on; the version published last stays, and a file that it did not see is new to t
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..constants import LOAD_TS
 from ..plans.actual import VERSIONED, Versioned
 from .store import Folder, Versions
 
@@ -77,3 +79,47 @@ class StagingState(Mapping):
 
     def __len__(self) -> int:
         return len(VERSIONED)
+
+
+def _groups_by_load(df: DataFrame, keys: Sequence[str], load_ts: str) -> DataFrame:
+    """(load_ts, groups): duplicated key groups of every load, zero included."""
+    per_key = df.groupBy(load_ts, *keys).agg(F.count(keys[0]).alias("n"))
+    return per_key.groupBy(load_ts).agg(F.count(F.when(F.col("n") > 1, F.col(keys[0]))).alias("groups"))
+
+
+def checked_loads(spark: SparkSession, source: str, state: str, keys: Sequence[str],
+                  load_ts: str = LOAD_TS) -> tuple[DataFrame, list[str]]:
+    """(duplicated key groups of every load of a stored table, the files that were read for it).
+
+    A duplicate is two rows of one key in one load, so loads checked before need no second scan: the state keeps each
+    load's number of groups and the files seen. Only if a new file holds rows of a load checked before is that load
+    read again, from all files.
+    """
+    versions = Versions(spark, state)
+    current = versions.current()
+    seen = {r["file"] for r in spark.read.parquet(f"{current}/files").collect()} if current else set()
+    files = data_files(spark, source)
+    new = [f for f in files if f not in seen]
+    if not new:
+        if current is None:
+            raise FileNotFoundError(f"no files in {source}")
+        return spark.read.parquet(f"{current}/rows"), []
+
+    def read(names: list[str]) -> DataFrame:
+        return spark.read.option("basePath", source).parquet(*names).select(load_ts, *keys)
+
+    rows, was_read = read(new), new
+    loads = rows.select(F.col(load_ts).alias("__load")).distinct()
+    same = F.col(load_ts).eqNullSafe(F.col("__load"))
+    before = spark.read.parquet(f"{current}/rows") if current else None
+    if before is not None and not before.join(loads, same, "left_semi").isEmpty():
+        rows, was_read = read(files).join(loads, same, "left_semi"), files
+    counts = _groups_by_load(rows, keys, load_ts)
+    if before is not None:
+        counts = before.join(loads, same, "left_anti").unionByName(counts)
+    name = versions.fresh()
+    counts.write.parquet(f"{versions.place(name)}/rows")
+    spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.parquet(f"{versions.place(name)}/files")
+    versions.publish(name)
+    versions.clean()
+    return spark.read.parquet(f"{versions.place(name)}/rows"), was_read

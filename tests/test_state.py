@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from martline.plans import actual, jobs
 from martline.plans.actual import VERSIONED
 from martline.sources import testdata as TD
-from martline.sources.state import StagingState, advance, data_files
+from martline.operators.quality import duplicate_key_groups
+from martline.sources.state import StagingState, advance, checked_loads, data_files
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "vbeln string, wadat date, vkorg string, kunnr string, ntgew decimal(18,3), tech_load_ts timestamp_ntz, tech_is_deleted int"
@@ -79,3 +80,43 @@ def test_load_from_state_equals_load_from_history(spark, tmp_dir):
     second = StagingState(spark, staging, f"{tmp_dir}/state")
     assert jobs.load_shipment_mart(spark, second, f"{tmp_dir}/b", "2024-01-02") == 0
     assert set(second.new_files) and not any(second.new_files.values())
+
+
+def mart_rows(spark, rows):
+    return spark.createDataFrame([(k, None if ts is None else dt.datetime(2024, 1, ts)) for k, ts in rows], "k string, tech_load_ts timestamp_ntz")
+
+
+def groups(loads):
+    return loads.agg(F.sum("groups")).first()[0]
+
+
+def test_loads_checked_before_are_not_read_again(spark, tmp_dir):
+    source, state = f"{tmp_dir}/mart", f"{tmp_dir}/state"
+    whole = []
+
+    def load(rows):
+        whole.extend(rows)
+        mart_rows(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        got, files = checked_loads(spark, source, state, ["k"])
+        want = duplicate_key_groups(mart_rows(spark, whole), ["k"]).first().validation_result
+        assert groups(got) == want
+        return files
+
+    load([("a", 1), ("a", 1), ("b", 1), (None, 1), (None, 1)])
+    assert len(load([("a", 2), ("b", 2), ("b", 2), ("c", 2), ("c", 2)])) == 1
+    assert groups(checked_loads(spark, source, state, ["k"])[0]) == 3 and checked_loads(spark, source, state, ["k"])[1] == []
+    # more rows of a load checked before: that load is read from all files
+    assert len(load([("b", 1), ("z", 3)])) == 3
+    assert len(load([("n", None), ("n", None)])) == 1
+
+
+def test_stored_key_checks_equal_the_full_checks(spark, tmp_dir):
+    keys = [("t", ["k"])]
+    for part in ([("a", 1), ("a", 1)], [("a", 2), ("b", 2), ("b", 2)]):
+        mart_rows(spark, part).write.mode("append").parquet(f"{tmp_dir}/t")
+        rep = jobs.run_stored_key_checks(spark, {"t": f"{tmp_dir}/t"}, f"{tmp_dir}/state", "test", keys, f"{tmp_dir}/report", "2024-06-30")
+        want = duplicate_key_groups(spark.read.parquet(f"{tmp_dir}/t"), ["k"]).first().validation_result
+        assert [(r.date, r.environment, r.dm_table, r.validation_result) for r in rep.collect()] == [("2024-06-30", "test", "t", want)]
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/report").count() == 2
+    with pytest.raises(KeyError):
+        jobs.run_stored_key_checks(spark, {"x": f"{tmp_dir}/t"}, f"{tmp_dir}/state", "test", keys)
