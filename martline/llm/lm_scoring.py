@@ -12,10 +12,12 @@ The contract's ``base_score`` needs exact counts; these come back to each chunk
 
 Scale. A chunk of documents sends each distinct word and pair once, hashed, to the partition of its hash, so
 frequent words are pre-aggregated and the shuffles grow with the corpus. Each partition builds its own segment of
-the filter, ``BITS`` bits an entry, so the filter grows with the corpus and its error rate stays. Segments of at most
-``FILTER_BYTES`` together are broadcast. A larger filter stays where it is: chunks send their distinct n-grams to the
-partitions, which probe their segments and return levels; scores are the same. Every pair of
-the training documents is stored, those seen once at level 1.
+the filter, ``BITS`` bits an entry, so the filter grows with the corpus and its error rate stays. A filter whose
+segments cannot exceed ``FILTER_BYTES`` together is broadcast. A larger one stays where it is: the chunks' counts name
+their other n-grams too (0 times), and a partition that has built its segment probes it once for each n-gram it was
+sent and returns the levels with the counts, so nothing is asked twice; scores are the same. A partition serves
+``CHUNKS_A_PART`` chunks, which keeps messages large. Every pair of the training documents is stored, those seen once
+at level 1.
 
 Defined cases: NULL and empty texts have one token, the end; NULL ids count as not held out; repeated rows count
 and are scored each; without training tokens every probability is 1; an empty table gives an empty result.
@@ -38,6 +40,8 @@ from martline.session import cut_lineage
 BASE, PROBES, BITS = 1.5, 5, 10
 FILTER_BYTES = 64 << 20
 CHUNK = 4 << 20
+#: Partitions of the hash space: one for each of the first chunks, then one for so many chunks.
+FEW_PARTS, CHUNKS_A_PART = 16, 4
 PAIR_WEIGHT = 0.2
 #: Hashes of the end of a text and of what stands before its first word; words never have them but by accident.
 END, START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -151,13 +155,16 @@ def pair_keys(high: np.ndarray, part: np.ndarray | int, parts: int) -> np.ndarra
     return mix(high) // np.uint64(parts) * np.uint64(parts) + np.asarray(part).astype(np.uint64)
 
 
-def _count(parts: int):
+def _count(parts: int, in_place: bool = False):
+    """A chunk's distinct words and training pairs with their counts; ``in_place``: all its pairs."""
+
     def run(t: pa.Table) -> pa.Table:
         chunk = t.column("chunk")[0].as_py()
         token, before, doc = tokens(t.column("text"))
         trained = ~np.array([held_out(i) for i in t.column("doc_id").to_pylist()], np.bool_)[doc]
         words, n = counted(token, trained)
-        two, n2 = counted(pairs(before, token)[trained], np.ones(trained.sum()))
+        told = trained | in_place
+        two, n2 = counted(pairs(before, token)[told], trained[told])
         rows = [(chunk, p, "word", words[i].tobytes() + n[i].tobytes()) for p, i in by_part(words, parts)]
         rows += [(chunk, p, "pair", gram_bytes(two[i]) + n2[i].tobytes()) for p, i in by_part(two, parts)]
         return messages(rows)
@@ -165,14 +172,22 @@ def _count(parts: int):
     return run
 
 
+def answered(kind: str, part: int, sources: list[tuple[int, int]], values: np.ndarray) -> list[tuple[int, int, str, bytes]]:
+    """One message to each (chunk, number of values) with its share of ``values``, which are in that order."""
+    ends = np.cumsum([n for _, n in sources], dtype=np.int64)
+    return [(chunk, part, kind, values[end - n : end].tobytes()) for (chunk, n), end in zip(sources, ends)]
+
+
 def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
-def _merge(parts: int):
+def _merge(parts: int, in_place: bool = False):
+    """A partition's counts for every chunk, its statistics and its segment, or (``in_place``) the levels it gives."""
+
     def run(t: pa.Table) -> pa.Table:
         part = t.column("part")[0].as_py()
-        rows, sources, hashes, counts, high, many = [], [], [], [], [], []
+        rows, sources, pair_sources, hashes, counts, high, many = [], [], [], [], [], [], []
         for chunk, kind, data in zip(t.column("chunk").to_pylist(), t.column("kind").to_pylist(), t.column("data").to_pylist()):
             if kind == "word":
                 n = len(data) // 12
@@ -181,19 +196,22 @@ def _merge(parts: int):
                 counts.append(np.frombuffer(data, np.uint32, n, 8 * n))
             else:
                 n = len(data) // 9
+                pair_sources.append((chunk, n))
                 high.append(high_bits(data, n))
                 many.append(np.frombuffer(data, np.uint32, n, 5 * n))
         words, inverse = np.unique(joined(hashes, np.uint64), return_inverse=True)
         total = np.bincount(inverse, weights=joined(counts, np.uint32), minlength=len(words))
-        answer, at = total[inverse].astype(np.uint64), 0
-        for chunk, n in sources:
-            rows.append((chunk, part, "count", answer[at : at + n].tobytes()))
-            at += n
-        two, inverse = np.unique(joined(high, np.uint64), return_inverse=True)
-        total2 = np.bincount(inverse, weights=joined(many, np.uint32), minlength=len(two))
-        known = total > 0
-        grams = np.concatenate([words[known], pair_keys(two, part, parts)])
-        rows.append((-1, part, "filter", segment(grams, np.concatenate([total[known], total2])).tobytes()))
+        rows += answered("count", part, sources, total.astype(np.uint64)[inverse])
+        two, pair_inverse = np.unique(joined(high, np.uint64), return_inverse=True)
+        total2 = np.bincount(pair_inverse, weights=joined(many, np.uint32), minlength=len(two))
+        known, known2, keys = total > 0, total2 > 0, pair_keys(two, part, parts)
+        own = segment(np.concatenate([words[known], keys[known2]]), np.concatenate([total[known], total2[known2]])).tobytes()
+        if in_place:
+            lookup = LogFrequencyFilter([len(own)], own)
+            rows += answered("word level", part, sources, lookup.levels(words)[inverse])
+            rows += answered("pair level", part, pair_sources, lookup.levels(keys)[pair_inverse])
+        else:
+            rows.append((-1, part, "filter", own))
         stats = [total.sum(), known.sum(), (total == 1).sum(), (total == 2).sum()]
         rows.append((-1, part, "stats", ",".join(str(int(x)) for x in stats).encode()))
         return messages(rows)
@@ -201,34 +219,6 @@ def _merge(parts: int):
     return run
 
 
-def _ask(parts: int):
-    """A chunk's distinct words and pairs, for the partitions that hold their segments."""
-
-    def run(t: pa.Table) -> pa.Table:
-        chunk = t.column("chunk")[0].as_py()
-        token, before, _ = tokens(t.column("text"))
-        words, two = np.unique(token), np.unique(pairs(before, token))
-        rows = [(chunk, p, "word", words[i].tobytes()) for p, i in by_part(words, parts)]
-        return messages(rows + [(chunk, p, "pair", gram_bytes(two[i])) for p, i in by_part(two, parts)])
-
-    return run
-
-
-def _probe(parts: int):
-    def run(asks: pa.Table, segments: pa.Table) -> pa.Table:
-        if not asks.num_rows:
-            return messages([])
-        part, data = asks.column("part")[0].as_py(), segments.column("data").to_pylist()
-        lookup = LogFrequencyFilter([len(x) for x in data] or [8], b"".join(data) or bytes(8))
-        rows = []
-        for chunk, kind, blob in zip(asks.column("chunk").to_pylist(), asks.column("kind").to_pylist(), asks.column("data").to_pylist()):
-            grams = np.frombuffer(blob, np.uint64) if kind == "word" else pair_keys(high_bits(blob, len(blob) // 5), part, parts)
-            rows.append((chunk, part, f"{kind} level", lookup.levels(grams).tobytes()))
-        return messages(rows)
-
-    return run
-
-
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
@@ -279,20 +269,16 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """The contract's rows: exact add-one unigram score and the model's log10 probability of every text."""
     spark = docs.sparkSession
     d, n = chunked(docs, CHUNK)
-    parts, mine = n, d.groupBy("chunk")
-    merged = cut_lineage(mine.applyInArrow(_count(parts), MESSAGE).groupBy("part").applyInArrow(_merge(parts), MESSAGE))
+    parts, mine = max(min(n, FEW_PARTS), -(-n // CHUNKS_A_PART)), d.groupBy("chunk")
+    # at most every second byte is a word: two n-grams each, of levels no higher than their counts, BITS bits a level
+    in_place = n * CHUNK * BITS // 8 > filter_bytes
+    merged = cut_lineage(mine.applyInArrow(_count(parts, in_place), MESSAGE).groupBy("part").applyInArrow(_merge(parts, in_place), MESSAGE))
     numbers = F.split(F.decode("data", "UTF-8"), ",")
     row = merged.where("kind = 'stats'").agg(*[F.coalesce(F.sum(numbers[k].cast("bigint")), F.lit(0)).alias(f"s{k}") for k in range(4)]).first()
-    segments = merged.where("kind = 'filter'")
-    size = segments.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("b")).first()["b"]
-    answers = merged.where("kind = 'count'")
     together = None
-    if size <= filter_bytes:
-        own = {r["part"]: bytes(r["data"]) for r in segments.select("part", "data").toLocalIterator()}
+    if not in_place:
+        own = {r["part"]: bytes(r["data"]) for r in merged.where("kind = 'filter'").select("part", "data").toLocalIterator()}
         own = [own.get(p, bytes(8)) for p in range(parts)]
         together = ([len(s) for s in own], b"".join(own))
-    else:
-        asks = mine.applyInArrow(_ask(parts), MESSAGE)
-        answers = answers.unionByName(asks.groupBy("part").cogroup(segments.groupBy("part")).applyInArrow(_probe(parts), MESSAGE))
     shared = spark.sparkContext.broadcast((together, tuple(int(x) for x in row)))
-    return mine.cogroup(answers.groupBy("chunk")).applyInArrow(_score(shared, parts), RESULT)
+    return mine.cogroup(merged.where("chunk >= 0").groupBy("chunk")).applyInArrow(_score(shared, parts), RESULT)
