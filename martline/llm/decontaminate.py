@@ -25,10 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martline.llm.common import let, sized_broadcast, unclashed, words
+from martline.llm.common import let, sized_broadcast, unclashed
 from martline.session import cut_lineage
 
-TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ASCII characters that no word holds, and A-Z with what they become; all others stay as they are.
+BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WIDTH = 13
 #: A document is one row here: its id and a hash of its text, so that rows sharing an id stay apart.
@@ -36,8 +37,13 @@ KEY = ("doc_id", "text_hash")
 
 
 def terms(text: Column) -> Column:
-    """Lower-cased (A-Z only) alphanumeric words."""
-    return words(F.translate(text, UPPER, LOWER), TERM)
+    """Lower-cased (A-Z only) words: the matches of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
+
+    One pass over the characters and a split at single spaces find them at a fraction of what a regular expression
+    takes, which is most of the job's time.
+    """
+    spaced = F.translate(F.coalesce(text, F.lit("")), BETWEEN + UPPER, " " * len(BETWEEN) + LOWER)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def with_key(docs: DataFrame) -> DataFrame:
