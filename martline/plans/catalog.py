@@ -231,15 +231,15 @@ def previous_shipment_mart(cand: DataFrame) -> DataFrame:
     """Two earlier loads of the mart, derived from the candidates: the older
     one for every key but matrix 05 (with another consignee), the newer one
     for matrices 01-04 (matrix 04 without forwarder)."""
-    v1 = (cand.where(F.col("tariff_matrix_code") != "05")
-          .withColumn("consignee_name", F.lit("OLD"))
-          .withColumn(K.LOAD_TS, F.lit(PREVIOUS_LOAD_TS[0]).cast("timestamp_ntz")))
-    v2 = (cand.where(F.col("tariff_matrix_code").isin("01", "02", "03", "04"))
-          .withColumn("forwarder_name",
-                      F.when(F.col("tariff_matrix_code") == "04", F.lit(None).cast("string"))
-                      .otherwise(F.col("forwarder_name")))
-          .withColumn(K.LOAD_TS, F.lit(PREVIOUS_LOAD_TS[1]).cast("timestamp_ntz")))
-    return v1.unionByName(v2)
+    newer = F.col("tariff_matrix_code").isin("01", "02", "03", "04")
+    loads = F.when(newer, F.array(F.lit(0), F.lit(1))).when(F.col("tariff_matrix_code") != "05", F.array(F.lit(0)))
+    first = F.col("__load") == 0
+    # both loads of a row come from one reading of it
+    return (cand.withColumn("__load", F.explode(loads))
+            .withColumn("consignee_name", F.when(first, F.lit("OLD")).otherwise(F.col("consignee_name")))
+            .withColumn("forwarder_name", F.when(first | (F.col("tariff_matrix_code") != "04"), F.col("forwarder_name")))
+            .withColumn(K.LOAD_TS, F.when(first, F.lit(PREVIOUS_LOAD_TS[0])).otherwise(F.lit(PREVIOUS_LOAD_TS[1])).cast("timestamp_ntz"))
+            .drop("__load"))
 
 
 def shipment_mart_changes(spark, d):

@@ -69,7 +69,7 @@ def goods(items: DataFrame, deliveries: DataFrame) -> DataFrame:
     long as the shipment number has clients.
     """
     lines = items.join(deliveries.withColumnRenamed("vbeln", "__delivery"), F.col("vbeln") == F.col("__delivery"), "left")
-    first = F.when(F.col("tpnum") == 1, F.struct("mandt", "vbeln", "wadat", "vkorg", "kunnr"))
+    first = F.when(F.col("tpnum") == 1, F.struct("mandt", "wadat", "vkorg", "kunnr"))
     return lines.groupBy("tknum").agg(F.sum("ntgew").alias("net_weight"), F.collect_list(first).alias("first_items"))
 
 
@@ -108,10 +108,12 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
     f = _pref(actual.lfa1(src["lfa1"]).select("lifnr", "name1"), "f_")
     rlt = _pref(lead_times(actual.tvrab(src["tvrab"]), actual.transport_leg(src["transport_leg"])), "r_")
 
-    # Joins sharing a key are adjacent, so when the sides are too large to
-    # broadcast the growing left side is shuffled once per key (text
-    # shipment number, BIGINT shipment number, consignee, ...) and
-    # version-resolved right sides keep the partitioning of their own key.
+    # The left side is shuffled once per key whose other side is too large to
+    # broadcast (forwarder, delivery point, route, text shipment number,
+    # consignee, business unit, BIGINT shipment number), so what headers alone
+    # decide is joined while rows are narrow, each key is dropped once used, and
+    # the widest sides come last. Joins sharing a key are adjacent; rows end up
+    # dealt by the mart's key, as the comparison with the stored mart needs them.
     k = k.withColumn("k_no", to_bigint("k_tknum"))
     ship_no = F.col("k_no")
     def same_shipment(other: str):
@@ -122,25 +124,25 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
     first_items = F.filter("g_first_items", lambda i: i["mandt"] == F.col("k_mandt")) if client_in_join \
         else F.col("g_first_items")
     x = (
-        k.join(g, F.col("k_tknum") == F.col("g_tknum"), "left")
+        k.join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
+        .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
+        .join(rlt, F.col("r_route") == F.col("k_route"), "left")
+        .join(g, F.col("k_tknum") == F.col("g_tknum"), "left")
         .withColumn("l", F.explode_outer(first_items))
         .drop("g_first_items")
         .withColumns({f"l_{c}": F.col("l")[c] for c in ("wadat", "vkorg", "kunnr")})
         .drop("l")
         .join(s, same_shipment("s"), "left")
-        .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
-        .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
         .join(c, F.col("l_kunnr") == F.col("c_kunnr"), "left")
-        .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
         .join(
             b,
             (F.col("l_vkorg") == F.col("b_business_unit_code"))
             & (F.col("s_vstel") == F.col("b_shipping_point_code")),
             "left",
         )
-        .join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
-        .join(rlt, F.col("r_route") == F.col("k_route"), "left")
-        .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
+        .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
+        .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
+        .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
     )
 
     def rub(amount, ccy):
