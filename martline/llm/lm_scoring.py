@@ -272,7 +272,7 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     parts, mine = max(min(n, FEW_PARTS), -(-n // CHUNKS_A_PART)), d.groupBy("chunk")
     # at most every second byte is a word: two n-grams each, of levels no higher than their counts, BITS bits a level
     in_place = n * CHUNK * BITS // 8 > filter_bytes
-    merged = cut_lineage(mine.applyInArrow(_count(parts, in_place), MESSAGE).groupBy("part").applyInArrow(_merge(parts, in_place), MESSAGE))
+    merged = cut_lineage(mine.applyInArrow(_count(parts, in_place), MESSAGE).repartition(parts, "part").groupBy("part").applyInArrow(_merge(parts, in_place), MESSAGE))
     numbers = F.split(F.decode("data", "UTF-8"), ",")
     row = merged.where("kind = 'stats'").agg(*[F.coalesce(F.sum(numbers[k].cast("bigint")), F.lit(0)).alias(f"s{k}") for k in range(4)]).first()
     together = None
