@@ -445,8 +445,10 @@ def incremental_load(spark, d):
     creator = F.when(F.col("zzmatrix") == "02", F.lit("EARLY")).otherwise(F.col("ernam"))
     early = dict(src)
     early["vttk"] = src["vttk"].where(F.col("erdat") < F.lit(FIRST_LOAD_CUT).cast("date")).withColumn("ernam", creator)
-    jobs.load_shipment_mart(spark, early, target, PREVIOUS_LOAD_TS[0])
-    jobs.load_shipment_mart(spark, src, target, PREVIOUS_LOAD_TS[1])
+    # the loads differ in their headers only
+    with shipment_mart.stored_sides(src) as made:
+        jobs.load_shipment_mart(spark, early, target, PREVIOUS_LOAD_TS[0], made=made)
+        jobs.load_shipment_mart(spark, src, target, PREVIOUS_LOAD_TS[1], made=made)
     return jobs.read_target(spark, target)
 
 

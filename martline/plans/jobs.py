@@ -96,9 +96,12 @@ def _incremental(spark, rows: DataFrame, target: str, keys: Sequence[str], colum
 
 def load_shipment_mart(spark: SparkSession, src: Mapping[str, DataFrame], target: str, run_ts=None,
                        is_table: bool = False, resolve_dims: bool = True, client_in_join: bool = False,
-                       run_id: str | None = None) -> int:
-    """E1: append new or changed shipment rows; returns their number."""
-    rows = shipment_mart.enriched(src, resolve_dims, client_in_join)
+                       run_id: str | None = None, made: Mapping[str, DataFrame] | None = None) -> int:
+    """E1: append new or changed shipment rows; returns their number.
+
+    ``made``: the sides of the star, if several loads share them (``shipment_mart.stored_sides``).
+    """
+    rows = shipment_mart.enriched(src, resolve_dims, client_in_join, made)
     return _incremental(spark, rows, target, [shipment_mart.KEY], shipment_mart.COLUMNS, run_ts, is_table, run_id=run_id)
 
 

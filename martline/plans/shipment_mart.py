@@ -12,7 +12,8 @@ shipment number as BIGINT (both sides cast, so leading zeros never matter).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.rules import business_unit, sales_channel, to_bigint, to_roubles
 from ..operators.enrich import child_total, distinct_legs, route_lead_time
+from ..session import dealt_table
 from . import actual
 
 KEY = "transportation_number"
@@ -78,44 +80,70 @@ def lead_times(route_legs: DataFrame, service_legs: DataFrame) -> DataFrame:
     return route_lead_time(distinct_legs(route_legs), service_legs)
 
 
-def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
-    """Candidate mart rows (the 21 mart columns, cast to ``SCHEMA``).
+def _as_stored(df: DataFrame, total: str, column: str) -> DataFrame:
+    """A total in the mart column's type: sums are wider, and every shuffle of the star would carry that."""
+    return df.withColumn(total, F.col(total).cast(SCHEMA[column].dataType))
 
-    ``client_in_join``: join headers to items and stages on (client, shipment
-    number) instead of the shipment number alone (the source's behaviour).
-    It is the same with one client, avoids the fan-out across several
-    clients, and reuses the partitioning of the version windows, which are
-    keyed by (client, shipment number).
+
+#: The sides of the star that hold a row for each shipment or route, with the key they are joined by.
+SIDES = {"goods": "tknum", "stages": "tknum", "lead_times": "route", "delivery_dates": "SHIPMENT_NUM", "costs": "SHIPMENT_NUMBER"}
+
+
+def sides(src: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The resolved and aggregated sides of the star that do not depend on the headers (``SIDES``)."""
+    deliveries = actual.likp(src["likp"]).select("vbeln", "wadat", "vkorg", "kunnr", "ntgew")
+    legs = lead_times(actual.tvrab(src["tvrab"]), actual.transport_leg(src["transport_leg"]))
+    return {
+        "goods": _as_stored(goods(actual.vttp(src["vttp"]).select("mandt", "tknum", "tpnum", "vbeln"), deliveries),
+                            "net_weight", "net_weight"),
+        "stages": actual.vtts(src["vtts"]).select("mandt", "tknum", "vstel"),
+        "lead_times": _as_stored(legs, "svt_route_lead_time", "lead_time_plan"),
+        "delivery_dates": actual.otif_delivery(src["otif_delivery"]).drop("TECH_LOAD_TS"),
+        "costs": actual.transportation_costs(src["transportation_costs"]).drop("TECH_LOAD_TS"),
+    }
+
+
+@contextmanager
+def stored_sides(src: Mapping[str, DataFrame]) -> Iterator[dict[str, DataFrame]]:
+    """``sides``, each computed once for several loads and stored by the key it is joined by; dropped after the block.
+
+    A load then shuffles its headers only: a side is read as it is dealt.
     """
+    with ExitStack() as stack:
+        yield {name: stack.enter_context(dealt_table(df, SIDES[name])) for name, df in sides(src).items()}
+
+
+#: What ``shipments`` keeps of each header and its sides.
+SHIPMENT_COLUMNS = ("k_tknum", "k_datbg", "k_zzmatrix", "k_ernam", "k_erdat", "k_erzet", "f_name1",
+                    "d_delivery_point_dashboard_name", "g_net_weight", "l_wadat", "l_vkorg", "s_vstel",
+                    "r_svt_route_lead_time", "c_name1", "b_business_unit_name")
+
+
+def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False,
+              made: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Live headers with all that is joined by text keys (``SHIPMENT_COLUMNS``); ``made`` as in ``enriched``."""
+    made = made or sides(src)
     k = _pref(actual.vttk(src["vttk"]), "k_")
-    deliveries = actual.likp(src["likp"]).select("vbeln", "wadat", "vkorg", "kunnr", "ntgew")
-    g = _pref(goods(actual.vttp(src["vttp"]).select("mandt", "tknum", "tpnum", "vbeln"), deliveries), "g_")
-    o = _pref(actual.otif_delivery(src["otif_delivery"]).drop("TECH_LOAD_TS"), "o_")
-    s = _pref(actual.vtts(src["vtts"]).select("mandt", "tknum", "vstel"), "s_")
+    g, s, rlt = _pref(made["goods"], "g_"), _pref(made["stages"], "s_"), _pref(made["lead_times"], "r_")
     d = _pref(
         actual.reference_dim(src["delivery_point_ref"], ["delivery_point_code"], resolve_dims)
         .select("delivery_point_code", "delivery_point_dashboard_name"),
         "d_",
     )
     c = _pref(actual.kna1(src["kna1"]).select("kunnr", "name1"), "c_")
-    ca = _pref(actual.transportation_costs(src["transportation_costs"]).drop("TECH_LOAD_TS"), "ca_")
-    cu = _pref(actual.currency_rates(src["currency_rate_ref"]).drop("TECH_LOAD_TS"), "cu_")
     b = _pref(
         actual.reference_dim(src["business_unit_ref"], ["business_unit_code", "shipping_point_code"], resolve_dims)
         .select("business_unit_code", "shipping_point_code", "business_unit_name"),
         "b_",
     )
     f = _pref(actual.lfa1(src["lfa1"]).select("lifnr", "name1"), "f_")
-    rlt = _pref(lead_times(actual.tvrab(src["tvrab"]), actual.transport_leg(src["transport_leg"])), "r_")
 
     # The left side is shuffled once per key whose other side is too large to
-    # broadcast (forwarder, delivery point, route, text shipment number,
-    # consignee, business unit, BIGINT shipment number), so what headers alone
-    # decide is joined while rows are narrow, each key is dropped once used, and
-    # the widest sides come last. Joins sharing a key are adjacent; rows end up
-    # dealt by the mart's key, as the comparison with the stored mart needs them.
-    k = k.withColumn("k_no", to_bigint("k_tknum"))
-    ship_no = F.col("k_no")
+    # broadcast, so what headers alone decide is joined while rows are narrow,
+    # each key is dropped once used, and the widest sides come last. Joins
+    # sharing a key are adjacent. Forwarders and delivery points come first:
+    # where they are broadcast, headers are still dealt by the shipment number,
+    # which goods and stages are joined by.
     def same_shipment(other: str):
         cond = F.col("k_tknum") == F.col(f"{other}_tknum")
         return (cond & (F.col("k_mandt") == F.col(f"{other}_mandt"))) if client_in_join else cond
@@ -126,13 +154,13 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
     x = (
         k.join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
         .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
-        .join(rlt, F.col("r_route") == F.col("k_route"), "left")
         .join(g, F.col("k_tknum") == F.col("g_tknum"), "left")
         .withColumn("l", F.explode_outer(first_items))
         .drop("g_first_items")
         .withColumns({f"l_{c}": F.col("l")[c] for c in ("wadat", "vkorg", "kunnr")})
         .drop("l")
         .join(s, same_shipment("s"), "left")
+        .join(rlt, F.col("r_route") == F.col("k_route"), "left")
         .join(c, F.col("l_kunnr") == F.col("c_kunnr"), "left")
         .join(
             b,
@@ -140,6 +168,30 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
             & (F.col("s_vstel") == F.col("b_shipping_point_code")),
             "left",
         )
+    )
+    return x.select(*SHIPMENT_COLUMNS)
+
+
+def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False,
+             made: Mapping[str, DataFrame] | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Candidate mart rows (the 21 mart columns, cast to ``SCHEMA``).
+
+    ``client_in_join``: join headers to items and stages on (client, shipment
+    number) instead of the shipment number alone (the source's behaviour).
+    It is the same with one client, avoids the fan-out across several
+    clients, and reuses the partitioning of the version windows, which are
+    keyed by (client, shipment number). ``made``: the ``sides`` of ``src`` and
+    ``rows``: its ``shipments``, if they are stored because others read them too.
+    """
+    made = made or sides(src)
+    rows = shipments(src, resolve_dims, client_in_join, made) if rows is None else rows
+    o, ca = _pref(made["delivery_dates"], "o_"), _pref(made["costs"], "ca_")
+    cu = _pref(actual.currency_rates(src["currency_rate_ref"]).drop("TECH_LOAD_TS"), "cu_")
+
+    # rows end up dealt by the mart's key, as the comparison with the stored mart needs them
+    ship_no = F.col("k_no")
+    x = (
+        rows.withColumn("k_no", to_bigint("k_tknum"))
         .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
         .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")

@@ -66,6 +66,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@contextmanager
+def dealt_table(df: DataFrame, key: str) -> Iterator[DataFrame]:
+    """``df`` stored in the shared checkpoint folder in buckets of ``key``, as many as a shuffle has partitions.
+
+    Joins on ``key`` read it without a shuffle. The table and its files are dropped when the block ends.
+    """
+    spark = df.sparkSession
+    name = f"martline_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(spark, path)
+
+
 #: Folders that ``cut_lineage`` writes inside a ``scratch_tables`` block.
 _WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
@@ -80,5 +98,9 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _WRITTEN.reset(token)
         for path in written:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
