@@ -391,9 +391,13 @@ def mart_tables(spark, d) -> dict[str, DataFrame]:
     time, some of them twice), two views on them, and the reference tables as staged."""
     src = TD.staging(spark, d)
     run = PREVIOUS_LOAD_TS[1]
-    # a mart and its view read the same stored rows
-    main = cut_lineage(_loaded_twice(stamp(shipment_mart.enriched(src), run), F.col("tariff_matrix_code") == "02"))
-    var = cut_lineage(_loaded_twice(stamp(_mart_rows(spark, d), run), F.col("sales_channel") == K.CHANNEL_LAST_MILE))
+    # both marts read the same stored shipments, a mart and its view the same stored rows
+    made = shipment_mart.sides(src)
+    ships = cut_lineage(shipment_mart.shipments(src, made=made))
+    rows = shipment_mart.enriched(src, made=made, rows=ships)
+    main = cut_lineage(_loaded_twice(stamp(rows, run), F.col("tariff_matrix_code") == "02"))
+    day = cut_lineage(variability_mart.counted(variability_mart.from_mart_shipments(ships)))
+    var = cut_lineage(_loaded_twice(stamp(variability_mart.mart_rows(day), run), F.col("sales_channel") == K.CHANNEL_LAST_MILE))
     points = _loaded_twice(stamp(shipment_points.rows(src["tvst"]), run),
                            F.col("shipment_point_name") != F.col("shipment_point_dashboard_name"))
     return {

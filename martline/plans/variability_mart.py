@@ -71,7 +71,17 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
 
 def day_cells(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False) -> DataFrame:
     """Shipments counted per (date, four dimensions), with calendar keys."""
-    rows = shipments(src, resolve_dims, client_in_join)
+    return counted(shipments(src, resolve_dims, client_in_join))
+
+
+def from_mart_shipments(rows: DataFrame) -> DataFrame:
+    """``shipments`` as columns of ``shipment_mart.shipments``, which meets the same tables by the same keys."""
+    return rows.select("k_tknum", "k_zzmatrix", "l_wadat", "l_vkorg", "s_vstel", F.col("b_business_unit_name").alias("b_name"),
+                       F.col("d_delivery_point_dashboard_name").alias("d_name"))
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """The day cells of ``shipments``."""
     dims = {
         V.SC: sales_channel("k_zzmatrix", "l_vkorg", otherwise=K.NO_DATA),
         V.BU: business_unit("b_name", "l_vkorg", otherwise=K.NO_DATA),
