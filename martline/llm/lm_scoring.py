@@ -15,9 +15,10 @@ frequent words are pre-aggregated and the shuffles grow with the corpus. Each pa
 the filter, ``BITS`` bits an entry, so the filter grows with the corpus and its error rate stays. A filter whose
 segments cannot exceed ``FILTER_BYTES`` together is broadcast. A larger one stays where it is: the chunks' counts name
 their other n-grams too (0 times), and a partition that has built its segment probes it once for each n-gram it was
-sent and returns the levels with the counts, so nothing is asked twice; scores are the same. A partition serves
-``CHUNKS_A_PART`` chunks, which keeps messages large. Every pair of the training documents is stored, those seen once
-at level 1.
+sent and returns the levels with the counts, so nothing is asked twice; scores are the same. Its statistics go to
+every chunk with them, so this is one job: the texts are shuffled once and read twice, and nothing is stored between.
+A partition serves ``CHUNKS_A_PART`` chunks, which keeps messages large. Every pair of the training documents is
+stored, those seen once at level 1.
 
 Defined cases: NULL and empty texts have one token, the end; NULL ids count as not held out; repeated rows count
 and are scored each; without training tokens every probability is 1; an empty table gives an empty result.
@@ -220,12 +221,27 @@ def _merge(parts: int, in_place: bool = False):
 
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_NAMES = [f.split()[0] for f in RESULT.split(", ")]
 _TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
 
-def _score(shared, parts: int):
+def told_to_all(merged: DataFrame, chunks: int) -> DataFrame:
+    """The answers, with each partition's statistics for every chunk."""
+    to = F.when(F.col("kind") == "stats", F.sequence(F.lit(0), F.lit(chunks - 1))).otherwise(F.array("chunk"))
+    return merged.withColumn("chunk", F.explode(to))
+
+
+def _score(parts: int, shared=None):
+    """Scores of a chunk, by the ``shared`` filter and statistics or, without them, by those among its answers."""
+
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        segments, (n, v, n1, n2) = shared.value
+        if not docs.num_rows:  # statistics go to chunks without documents too
+            return pa.Table.from_arrays([pa.array([], k) for k in _TYPES], _NAMES)
+        if shared is not None:
+            segments, (n, v, n1, n2) = shared.value
+        else:
+            stats = [x.decode().split(",") for k, x in zip(answers.column("kind").to_pylist(), answers.column("data").to_pylist()) if k == "stats"]
+            segments, (n, v, n1, n2) = None, (sum(int(x[k]) for x in stats) for k in range(4))
         ids = docs.column("doc_id").to_pylist()
         token, before, doc = tokens(docs.column("text"))
         words, place = np.unique(token, return_inverse=True)
@@ -260,7 +276,7 @@ def _score(shared, parts: int):
             logs = np.zeros(len(token))
         columns = [ids, [held_out(i) for i in ids], total(np.ones(len(token))), total(exact[place] > 0), np.full(len(ids), n), total(base[place]), total(logs)]
         columns = [pa.array(x if isinstance(x, list) else x.astype(k.to_pandas_dtype()), k) for x, k in zip(columns, _TYPES)]
-        return pa.Table.from_arrays(columns, [f.split()[0] for f in RESULT.split(", ")])
+        return pa.Table.from_arrays(columns, _NAMES)
 
     return run
 
@@ -272,13 +288,14 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     parts, mine = max(min(n, FEW_PARTS), -(-n // CHUNKS_A_PART)), d.groupBy("chunk")
     # at most every second byte is a word: two n-grams each, of levels no higher than their counts, BITS bits a level
     in_place = n * CHUNK * BITS // 8 > filter_bytes
-    merged = cut_lineage(mine.applyInArrow(_count(parts, in_place), MESSAGE).repartition(parts, "part").groupBy("part").applyInArrow(_merge(parts, in_place), MESSAGE))
+    merged = mine.applyInArrow(_count(parts, in_place), MESSAGE).repartition(parts, "part").groupBy("part").applyInArrow(_merge(parts, in_place), MESSAGE)
+    if in_place:
+        # dealt like the documents, whose shuffle is read by both sides
+        return mine.cogroup(told_to_all(merged, n).repartition(n, "chunk").groupBy("chunk")).applyInArrow(_score(parts), RESULT)
+    merged = cut_lineage(merged)
     numbers = F.split(F.decode("data", "UTF-8"), ",")
     row = merged.where("kind = 'stats'").agg(*[F.coalesce(F.sum(numbers[k].cast("bigint")), F.lit(0)).alias(f"s{k}") for k in range(4)]).first()
-    together = None
-    if not in_place:
-        own = {r["part"]: bytes(r["data"]) for r in merged.where("kind = 'filter'").select("part", "data").toLocalIterator()}
-        own = [own.get(p, bytes(8)) for p in range(parts)]
-        together = ([len(s) for s in own], b"".join(own))
-    shared = spark.sparkContext.broadcast((together, tuple(int(x) for x in row)))
-    return mine.cogroup(merged.where("chunk >= 0").groupBy("chunk")).applyInArrow(_score(shared, parts), RESULT)
+    own = {r["part"]: bytes(r["data"]) for r in merged.where("kind = 'filter'").select("part", "data").toLocalIterator()}
+    own = [own.get(p, bytes(8)) for p in range(parts)]
+    shared = spark.sparkContext.broadcast((([len(s) for s in own], b"".join(own)), tuple(int(x) for x in row)))
+    return mine.cogroup(merged.where("chunk >= 0").groupBy("chunk")).applyInArrow(_score(parts, shared), RESULT)
