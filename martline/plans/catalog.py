@@ -244,8 +244,9 @@ def previous_shipment_mart(cand: DataFrame) -> DataFrame:
 
 def shipment_mart_changes(spark, d):
     # the candidates feed both sides (the previous loads are derived from
-    # them), so they are written once instead of computed twice
-    cand = cut_lineage(shipment_mart.enriched(TD.staging(spark, d)))
+    # them), so they are written once instead of computed twice, as they are
+    # dealt: by the key that versions and comparison need
+    cand = cut_lineage(shipment_mart.enriched(TD.staging(spark, d)), shipment_mart.KEY)
     target = previous_shipment_mart(cand)
     return new_or_changed(cand, current_state(target, [shipment_mart.KEY]), [shipment_mart.KEY],
                           shipment_mart.COLUMNS)
@@ -393,7 +394,7 @@ def mart_tables(spark, d) -> dict[str, DataFrame]:
     run = PREVIOUS_LOAD_TS[1]
     # both marts read the same stored shipments, a mart and its view the same stored rows
     made = shipment_mart.sides(src)
-    ships = cut_lineage(shipment_mart.shipments(src, made=made))
+    ships = cut_lineage(shipment_mart.shipments(src, made=made), "k_no")
     rows = shipment_mart.enriched(src, made=made, rows=ships)
     main = cut_lineage(_loaded_twice(stamp(rows, run), F.col("tariff_matrix_code") == "02"))
     day = cut_lineage(variability_mart.counted(variability_mart.from_mart_shipments(ships)))

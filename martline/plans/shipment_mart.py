@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from contextlib import ExitStack, contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,11 +114,17 @@ def stored_sides(src: Mapping[str, DataFrame]) -> Iterator[dict[str, DataFrame]]
 
 
 #: What ``shipments`` keeps of each header and its sides.
-SHIPMENT_COLUMNS = ("k_tknum", "k_datbg", "k_zzmatrix", "k_ernam", "k_erdat", "k_erzet", "f_name1",
+SHIPMENT_COLUMNS = ("k_no", "k_tknum", "k_datbg", "k_zzmatrix", "k_ernam", "k_erdat", "k_erzet", "f_name1",
                     "d_delivery_point_dashboard_name", "g_net_weight", "l_wadat", "l_vkorg", "s_vstel",
                     "r_svt_route_lead_time", "c_name1", "b_business_unit_name")
 
 
+#: Of these, what a header's own codes name; and the key of a header.
+NAMED = ("f_name1", "d_delivery_point_dashboard_name", "r_svt_route_lead_time")
+HEADER = ("k_mandt", "k_tknum")
+_NAMED = "__named"
+
+
 def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False,
               made: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Live headers with all that is joined by text keys (``SHIPMENT_COLUMNS``); ``made`` as in ``enriched``."""
@@ -138,12 +144,17 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
     )
     f = _pref(actual.lfa1(src["lfa1"]).select("lifnr", "name1"), "f_")
 
-    # The left side is shuffled once per key whose other side is too large to
-    # broadcast, so what headers alone decide is joined while rows are narrow,
-    # each key is dropped once used, and the widest sides come last. Joins
-    # sharing a key are adjacent. Forwarders and delivery points come first:
-    # where they are broadcast, headers are still dealt by the shipment number,
-    # which goods and stages are joined by.
+    # Rows are shuffled once per key whose other side is too large to broadcast, so what the codes of a header
+    # name is looked up beside its goods and stages: either way carries only its own columns, and both meet at
+    # the shipment number as BIGINT, by which the mart goes on. Each key is dropped once used.
+    named = (
+        k.select(*HEADER, "k_tdlnr", "k_add02", "k_route")
+        .join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
+        .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
+        .join(rlt, F.col("r_route") == F.col("k_route"), "left")
+        .select(*HEADER, F.struct(*NAMED).alias(_NAMED))
+    )
+
     def same_shipment(other: str):
         cond = F.col("k_tknum") == F.col(f"{other}_tknum")
         return (cond & (F.col("k_mandt") == F.col(f"{other}_mandt"))) if client_in_join else cond
@@ -151,16 +162,14 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
     # a header meets item 1 of every client with its shipment number, or (client_in_join) of its own
     first_items = F.filter("g_first_items", lambda i: i["mandt"] == F.col("k_mandt")) if client_in_join \
         else F.col("g_first_items")
-    x = (
-        k.join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
-        .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
+    rows = (
+        k.drop("k_tdlnr", "k_add02", "k_route")
         .join(g, F.col("k_tknum") == F.col("g_tknum"), "left")
         .withColumn("l", F.explode_outer(first_items))
         .drop("g_first_items")
         .withColumns({f"l_{c}": F.col("l")[c] for c in ("wadat", "vkorg", "kunnr")})
         .drop("l")
         .join(s, same_shipment("s"), "left")
-        .join(rlt, F.col("r_route") == F.col("k_route"), "left")
         .join(c, F.col("l_kunnr") == F.col("c_kunnr"), "left")
         .join(
             b,
@@ -168,8 +177,26 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
             & (F.col("s_vstel") == F.col("b_shipping_point_code")),
             "left",
         )
+        .select("k_mandt", *[c for c in SHIPMENT_COLUMNS if c not in ("k_no", *NAMED)])
+    )
+    return _with_named(rows, named).withColumn("k_no", to_bigint("k_tknum")).select(*SHIPMENT_COLUMNS)
+
+
+def _with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """``rows`` with the ``NAMED`` columns of their header's rows in ``named``, dealt by the shipment number as BIGINT.
+
+    Both are shuffled once, together. A window meets them by the whole key of a header, NULL like any other value;
+    a header without unique dimension keys has several rows in ``named``, and each goes to each of its ``rows``.
+    """
+    header = Window.partitionBy(to_bigint("k_tknum"), *HEADER)
+    return (
+        rows.unionByName(named, allowMissingColumns=True)
+        .repartition(to_bigint("k_tknum"))
+        .withColumn("__all", F.collect_list(_NAMED).over(header))
+        .where(F.col(_NAMED).isNull())
+        .withColumn(_NAMED, F.explode("__all"))
+        .withColumns({c: F.col(_NAMED)[c] for c in NAMED})
     )
-    return x.select(*SHIPMENT_COLUMNS)
 
 
 def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False,
@@ -191,8 +218,7 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
     # rows end up dealt by the mart's key, as the comparison with the stored mart needs them
     ship_no = F.col("k_no")
     x = (
-        rows.withColumn("k_no", to_bigint("k_tknum"))
-        .join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
+        rows.join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
         .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
     )

@@ -48,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, dealt_by: str | None = None) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and return a DataFrame reading it.
 
@@ -57,11 +57,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     re-read, not a recomputation from the sources. Writing a table computes
     ``df`` once; an eager ``checkpoint()`` would compute it twice (once to
     count, once to save) unless it were also cached.
+
+    ``dealt_by``: a column in whose buckets the table is stored, as many as a
+    shuffle has partitions, so that consumers keyed by it read it without a
+    shuffle. If ``df`` is dealt by it already, each task writes its own buckets.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = _table_path(spark)
     if (written := _WRITTEN.get()) is not None:
         written.append(path)
+    if dealt_by:
+        return _dealt(df, dealt_by, path)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -70,18 +76,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def dealt_table(df: DataFrame, key: str) -> Iterator[DataFrame]:
     """``df`` stored in the shared checkpoint folder in buckets of ``key``, as many as a shuffle has partitions.
 
-    Joins on ``key`` read it without a shuffle. The table and its files are dropped when the block ends.
+    Joins on ``key`` read it without a shuffle. Its files are deleted when the block ends.
     """
     spark = df.sparkSession
+    path = _table_path(spark)
+    try:
+        yield _dealt(df, key, path)
+    finally:
+        _delete(spark, path)
+
+
+def _table_path(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+
+
+def _dealt(df: DataFrame, key: str, path: str) -> DataFrame:
+    """``df`` written to ``path`` in buckets of ``key``. Spark writes buckets of named tables only, so the table has a name
+    until it is read; its files are external and stay."""
+    spark = df.sparkSession
     name = f"martline_{uuid.uuid4().hex}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
-        yield spark.table(name)
+        return spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        _delete(spark, path)
 
 
 #: Folders that ``cut_lineage`` writes inside a ``scratch_tables`` block.
