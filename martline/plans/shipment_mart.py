@@ -113,21 +113,18 @@ def stored_sides(src: Mapping[str, DataFrame]) -> Iterator[dict[str, DataFrame]]
         yield {name: stack.enter_context(dealt_table(df, SIDES[name])) for name, df in sides(src).items()}
 
 
-#: What ``shipments`` keeps of each header and its sides.
-SHIPMENT_COLUMNS = ("k_no", "k_tknum", "k_datbg", "k_zzmatrix", "k_ernam", "k_erdat", "k_erzet", "f_name1",
-                    "d_delivery_point_dashboard_name", "g_net_weight", "l_wadat", "l_vkorg", "s_vstel",
-                    "r_svt_route_lead_time", "c_name1", "b_business_unit_name")
-
-
-#: Of these, what a header's own codes name; and the key of a header.
-NAMED = ("f_name1", "d_delivery_point_dashboard_name", "r_svt_route_lead_time")
+#: The key of a header; its own columns, what its codes name, and what its goods and stages bring.
 HEADER = ("k_mandt", "k_tknum")
-_NAMED = "__named"
+OWN = ("k_datbg", "k_zzmatrix", "k_ernam", "k_erdat", "k_erzet")
+NAMED = ("f_name1", "d_delivery_point_dashboard_name", "r_svt_route_lead_time")
+BROUGHT = ("g_net_weight", "l_wadat", "l_vkorg", "s_vstel", "c_name1", "b_business_unit_name", "cu_rate_usd", "cu_rate_eur")
+#: What ``shipments`` keeps of each header and its sides.
+SHIPMENT_COLUMNS = ("k_no", "k_tknum", *OWN, *NAMED, *BROUGHT)
 
 
 def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_join: bool = False,
               made: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Live headers with all that is joined by text keys (``SHIPMENT_COLUMNS``); ``made`` as in ``enriched``."""
+    """Live headers with all that is joined by other keys than the mart's (``SHIPMENT_COLUMNS``); ``made`` as in ``enriched``."""
     made = made or sides(src)
     k = _pref(actual.vttk(src["vttk"]), "k_")
     g, s, rlt = _pref(made["goods"], "g_"), _pref(made["stages"], "s_"), _pref(made["lead_times"], "r_")
@@ -144,15 +141,18 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
     )
     f = _pref(actual.lfa1(src["lfa1"]).select("lifnr", "name1"), "f_")
 
+    cu = _pref(actual.currency_rates(src["currency_rate_ref"]).drop("TECH_LOAD_TS"), "cu_")
+
     # Rows are shuffled once per key whose other side is too large to broadcast, so what the codes of a header
-    # name is looked up beside its goods and stages: either way carries only its own columns, and both meet at
-    # the shipment number as BIGINT, by which the mart goes on. Each key is dropped once used.
+    # name is looked up beside its goods and stages. Either way carries only its own columns, the header's wait
+    # for both, and all meet at the shipment number as BIGINT, by which the mart goes on.
+    own = k.select(*HEADER, F.struct(*OWN).alias("__own"))
     named = (
         k.select(*HEADER, "k_tdlnr", "k_add02", "k_route")
         .join(f, F.col("f_lifnr") == F.col("k_tdlnr"), "left")
         .join(d, F.col("k_add02") == F.col("d_delivery_point_code"), "left")
         .join(rlt, F.col("r_route") == F.col("k_route"), "left")
-        .select(*HEADER, F.struct(*NAMED).alias(_NAMED))
+        .select(*HEADER, F.struct(*NAMED).alias("__named"))
     )
 
     def same_shipment(other: str):
@@ -163,7 +163,7 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
     first_items = F.filter("g_first_items", lambda i: i["mandt"] == F.col("k_mandt")) if client_in_join \
         else F.col("g_first_items")
     rows = (
-        k.drop("k_tdlnr", "k_add02", "k_route")
+        k.select(*HEADER)
         .join(g, F.col("k_tknum") == F.col("g_tknum"), "left")
         .withColumn("l", F.explode_outer(first_items))
         .drop("g_first_items")
@@ -177,25 +177,28 @@ def shipments(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in
             & (F.col("s_vstel") == F.col("b_shipping_point_code")),
             "left",
         )
-        .select("k_mandt", *[c for c in SHIPMENT_COLUMNS if c not in ("k_no", *NAMED)])
+        .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
+        .select(*HEADER, *BROUGHT)
     )
-    return _with_named(rows, named).withColumn("k_no", to_bigint("k_tknum")).select(*SHIPMENT_COLUMNS)
+    return _met(rows, own, named).select(to_bigint("k_tknum").alias("k_no"), *SHIPMENT_COLUMNS[1:])
 
 
-def _with_named(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """``rows`` with the ``NAMED`` columns of their header's rows in ``named``, dealt by the shipment number as BIGINT.
+def _met(rows: DataFrame, own: DataFrame, named: DataFrame) -> DataFrame:
+    """``rows`` with the ``OWN`` and ``NAMED`` columns of their header, dealt by the shipment number as BIGINT.
 
-    Both are shuffled once, together. A window meets them by the whole key of a header, NULL like any other value;
-    a header without unique dimension keys has several rows in ``named``, and each goes to each of its ``rows``.
+    All are shuffled once, together. A window meets them by the whole key of a header, NULL like any other value.
+    A header has one row in ``own``; with dimension keys that are not unique it has several in ``named``, and each
+    goes to each of its ``rows``.
     """
     header = Window.partitionBy(to_bigint("k_tknum"), *HEADER)
     return (
-        rows.unionByName(named, allowMissingColumns=True)
+        rows.unionByName(own, allowMissingColumns=True)
+        .unionByName(named, allowMissingColumns=True)
         .repartition(to_bigint("k_tknum"))
-        .withColumn("__all", F.collect_list(_NAMED).over(header))
-        .where(F.col(_NAMED).isNull())
-        .withColumn(_NAMED, F.explode("__all"))
-        .withColumns({c: F.col(_NAMED)[c] for c in NAMED})
+        .withColumns({"__head": F.first("__own", ignorenulls=True).over(header), "__all": F.collect_list("__named").over(header)})
+        .where(F.col("__own").isNull() & F.col("__named").isNull())
+        .withColumn("__names", F.explode("__all"))
+        .withColumns({c: F.col("__head")[c] for c in OWN} | {c: F.col("__names")[c] for c in NAMED})
     )
 
 
@@ -213,14 +216,12 @@ def enriched(src: Mapping[str, DataFrame], resolve_dims: bool = True, client_in_
     made = made or sides(src)
     rows = shipments(src, resolve_dims, client_in_join, made) if rows is None else rows
     o, ca = _pref(made["delivery_dates"], "o_"), _pref(made["costs"], "ca_")
-    cu = _pref(actual.currency_rates(src["currency_rate_ref"]).drop("TECH_LOAD_TS"), "cu_")
 
     # rows end up dealt by the mart's key, as the comparison with the stored mart needs them
     ship_no = F.col("k_no")
     x = (
         rows.join(o, ship_no == F.col("o_SHIPMENT_NUM"), "left")
         .join(ca, ship_no == F.col("ca_SHIPMENT_NUMBER").cast("bigint"), "left")
-        .join(cu, F.col("l_wadat") == F.col("cu_rate_date"), "left")
     )
 
     def rub(amount, ccy):

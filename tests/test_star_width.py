@@ -1,4 +1,4 @@
-"""Columns of the shipment star travel only where a join needs them; the candidates are stored as versions and comparison need them."""
+"""Columns of the shipment star travel only as far as a join needs them; the candidates are stored as versions and comparison need them."""
 
 from collections import Counter
 
@@ -87,7 +87,8 @@ def _one_after_the_other(src, resolve_dims, client) -> Counter:
          .join(t(made["lead_times"], "r_"), F.col("r_route") == F.col("k_route"), "left")
          .join(t(actual.kna1(src["kna1"]), "c_"), F.col("l_kunnr") == F.col("c_kunnr"), "left")
          .join(t(dim("business_unit_ref", ["business_unit_code", "shipping_point_code"]), "b_"),
-               (F.col("l_vkorg") == F.col("b_business_unit_code")) & (F.col("s_vstel") == F.col("b_shipping_point_code")), "left"))
+               (F.col("l_vkorg") == F.col("b_business_unit_code")) & (F.col("s_vstel") == F.col("b_shipping_point_code")), "left")
+         .join(t(actual.currency_rates(src["currency_rate_ref"]), "cu_"), F.col("l_wadat") == F.col("cu_rate_date"), "left"))
     return _rows(x.withColumn("k_no", F.col("k_tknum").cast("bigint")).select(*shipment_mart.SHIPMENT_COLUMNS))
 
 
@@ -105,17 +106,19 @@ def test_shipments_equal_a_chain_of_joins(src, resolve_dims, client):
 
 def test_lookups_carry_their_own_columns_only(spark, plainly):
     plan = _plan(shipment_mart.enriched(TD.staging(spark, SF)))
-    for key in ("k_tdlnr", "k_add02", "k_route"):
-        carried = _below(plan, f"hashpartitioning({key}#")
-        assert "k_tknum" in carried and not any(c in carried for c in ("k_ernam", "k_erzet", "g_net_weight", "l_wadat", "s_vstel"))
-    carried = _below(plan, "hashpartitioning(l_kunnr#")
-    assert "k_erzet" in carried and not any(c in carried for c in ("f_name1", "d_delivery_point", "k_route", "r_svt"))
+    own, named, brought = shipment_mart.OWN, shipment_mart.NAMED, shipment_mart.BROUGHT
+    for keys, others in ((("k_tdlnr", "k_add02", "k_route"), own + brought), (("l_kunnr", "l_vkorg", "l_wadat"), own + named)):
+        for key in keys:
+            carried = _below(plan, f"hashpartitioning({key}#")
+            assert "k_tknum" in carried and not any(f"{c}#" in carried for c in others)
+    # the rows that met go on to delivery dates, costs and the mart as they are dealt
+    assert "hashpartitioning(k_no#" not in plan and "hashpartitioning(transportation_number#" not in plan
 
 
 def test_headers_are_resolved_from_one_exchange(spark, plainly):
     plan = _plan(shipment_mart.enriched(TD.staging(spark, SF)))
     versions = [line for line in plan.splitlines() if "Exchange hashpartitioning(tknum#" in line and "Reused" not in line]
-    assert len(versions) == 4 and "ReusedExchange [tknum#" in plan  # headers, stages, items and the weights of goods
+    assert len(versions) == 4 and plan.count("ReusedExchange [tknum#") == 2  # headers, stages, items and the weights of goods
 
 
 def test_changes_read_the_stored_candidates_as_they_are_dealt(spark, plainly):
